@@ -234,7 +234,7 @@ def crm_tags(spark: SparkSession, folder: str) -> DataFrame:
         .select(
             *_crm_column(),
             F.expr(
-                f"case when {urgent} and o_orderstatus = 'F' then 'has_check' "
+                "case when o_orderpriority = '3-MEDIUM' and o_orderstatus = 'F' then 'has_check' "
                 f"when {urgent} and o_orderstatus = 'O' then 'has_comment' "
                 "when o_orderstatus = 'P' and o_orderpriority < '3' then 'has_low_cardinality' "
                 "else concat('note_', substring(o_orderpriority, 1, 1)) end"
