@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegrade.functions.expressions import clean_check, full_name, is_filled
-from tablegrade.operators.profile import Tables, union_all
+from tablegrade.functions.text import sql_name, sql_text
+from tablegrade.operators.profile import Tables, fold, union_all
 from tablegrade.schemas import TABLE_KEYS
 
 log = logging.getLogger(__name__)
@@ -167,18 +168,22 @@ def _known_patterns(spark: SparkSession, patterns: Iterable[str]) -> set[str]:
     return good
 
 
-def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: str | None) -> Column:
-    """Number of rows a check objects to. Listed values are compared in the column's own type."""
-    column = F.col(f"`{field.name}`")
+def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: str | None) -> str:
+    """SQL for the number of rows a check objects to.
+
+    Listed values are compared in the column's own type; one that does not fit it matches nothing.
+    """
+    column = sql_name(field.name)
     if metric == MISSING:
-        return F.count_if(column.isNull())
+        return f"count_if({column} is null)"
     if regex is not None:
-        return F.count_if(column.cast("string").rlike(regex))
+        return f"count_if(cast({column} as string) rlike {sql_text(regex)})"
+    if not valid:
+        return f"count({column})"
     plain = isinstance(field.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType))
-    kind = T.StringType() if plain else field.dataType
-    listed = [F.lit(v).try_cast(kind) for v in valid or []]
-    known = F.coalesce(column.cast(kind).isin(*listed), F.lit(False)) if listed else F.lit(False)
-    return F.count_if(column.isNotNull() & ~known)
+    kind = "string" if plain else field.dataType.simpleString()
+    listed = ", ".join(f"try_cast({sql_text(v)} as {kind})" for v in valid)
+    return f"count_if({column} is not null and not coalesce(cast({column} as {kind}) in ({listed}), false))"
 
 
 def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> DataFrame:
@@ -234,17 +239,16 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
 
 
 def _counts(name: str, table: DataFrame, fields: dict, todo: list) -> DataFrame:
-    aggregates = [
-        _count(fields[w["argument"].lower()], w["metric"], w["valid_values"], w["invalid_regex"])
+    """All counts of one table from one scan, labelled by signature."""
+    cells = {
+        w["signature"]: {
+            "value": _count(
+                fields[w["argument"].lower()], w["metric"], w["valid_values"], w["invalid_regex"]
+            )
+        }
         for w in todo
-    ]
-    folded = table.agg(*(a.alias(f"a{i}") for i, a in enumerate(aggregates)))
-    cells = [
-        F.struct(F.lit(w["signature"]).alias("signature"), F.col(f"a{i}").alias("value"))
-        for i, w in enumerate(todo)
-    ]
-    keys = [F.lit(p).alias(k) for p, k in zip(name.split("."), TABLE_KEYS)]
-    return folded.select(*keys, F.inline(F.array(*cells)))
+    }
+    return fold(name, table, cells).withColumnRenamed("column_name", "signature")
 
 
 def _outcome() -> Column:

@@ -14,13 +14,15 @@ Steps 1 and 2 return a handful of numbers per column; values never pass through
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegrade.functions.expressions import joined_values
+from tablegrade.functions.text import sql_name, sql_struct, sql_text
 from tablegrade.operators.state import set_tags, unset_tags
 from tablegrade.schemas import (
     COLUMN_KEYS,
@@ -34,7 +36,10 @@ from tablegrade.schemas import (
 #: Monitored data by ``catalog.schema.table`` name.
 Tables = Mapping[str, DataFrame]
 
+#: Rows looked at before a table is scanned.
 _FIRST_ROWS = 200
+#: Small jobs the driver submits side by side.
+_JOBS_AT_ONCE = 16
 
 _PROFILE = T.StructType(
     [T.StructField(k, T.StringType()) for k in [*COLUMN_KEYS, "data_type"]]
@@ -53,10 +58,6 @@ def name_parts(name: str) -> list[str]:
     return parts
 
 
-def _named(name: str) -> list[Column]:
-    return [F.lit(p).alias(k) for p, k in zip(name_parts(name), TABLE_KEYS)]
-
-
 def _holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _holds_map(kind.elementType)
@@ -70,11 +71,11 @@ def countable_columns(table: DataFrame) -> list[T.StructField]:
     return [f for f in table.schema if not _holds_map(f.dataType)]
 
 
-def as_text(field: T.StructField) -> Column:
-    """A column's values as text; nested ones as JSON."""
-    column = F.col(f"`{field.name}`")
+def as_text(field: T.StructField) -> str:
+    """SQL for a column's values as text; nested ones as JSON."""
+    column = sql_name(field.name)
     nested = isinstance(field.dataType, (T.ArrayType, T.StructType))
-    return F.to_json(column) if nested else column.cast("string")
+    return f"to_json({column})" if nested else f"cast({column} as string)"
 
 
 def sketch_limit(threshold: int) -> tuple[float, int]:
@@ -101,34 +102,44 @@ def _open_after_first_rows(table: DataFrame, columns: list[str], threshold: int)
     Only 64-bit hashes reach the driver. Unequal hashes prove unequal values, so a column is
     dropped only when it surely exceeds the threshold.
     """
+    if not columns:
+        return []
     rows = max(_FIRST_ROWS, 4 * threshold)
-    hashes = [F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(f"`{c}`")) for c in columns]
-    seen = table.select(*(h.alias(f"h{i}") for i, h in enumerate(hashes))).limit(rows).collect()
+    hashes = [f"if(isnull({c}), null, xxhash64({c}))" for c in map(sql_name, columns)]
+    seen = table.selectExpr(f"array({', '.join(hashes)}) as hashes").limit(rows).collect()
     # One spare value: zero and minus zero hash differently but are equal.
     return [
-        c
-        for i, c in enumerate(columns)
-        if len({row[i] for row in seen if row[i] is not None}) <= threshold + 1
+        column
+        for column, found in zip(columns, zip(*(row["hashes"] for row in seen)) if seen else [()] * len(columns))
+        if len(set(found) - {None}) <= threshold + 1
     ]
 
 
-def _long(table: DataFrame, aggregates: Mapping[str, Column], value: str) -> DataFrame:
-    """One aggregation over the table, given back as ``(column_name, value)`` rows."""
-    names = list(aggregates)
-    folded = table.agg(*(aggregates[c].alias(f"a{i}") for i, c in enumerate(names)))
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias(value))
-        for i, c in enumerate(names)
+def fold(name: str, table: DataFrame, cells: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """One aggregation over a table, given back as one row per cell.
+
+    ``cells`` maps a label to the aggregates (SQL) it stands for; all cells have the same fields. Each
+    row carries the table's name parts, the label as ``column_name`` and the aggregates.
+    """
+    keys = {k: sql_text(p) for k, p in zip(TABLE_KEYS, name_parts(name))}
+    rows = [
+        sql_struct(**keys, column_name=sql_text(label), **fields) for label, fields in cells.items()
     ]
-    return folded.select(F.inline(F.array(*cells)))
+    return table.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame | None:
-    """Union of frames of one shape; None for none."""
-    result = None
-    for frame in frames:
-        result = frame if result is None else result.unionByName(frame)
-    return result
+    """Union of frames with the same columns, as a balanced tree; None for none."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [pair[0].union(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return frames[0] if frames else None
+
+
+def at_once(function: Callable, items: list) -> list:
+    """Results of a driver-side call for several tables, their small jobs submitted together."""
+    with ThreadPoolExecutor(max_workers=_JOBS_AT_ONCE) as pool:
+        return list(pool.map(function, items))
 
 
 def _sketched(tables: Tables, open_columns: Mapping[str, list[str]], thresholds: Mapping[str, int]):
@@ -137,13 +148,15 @@ def _sketched(tables: Tables, open_columns: Mapping[str, list[str]], thresholds:
     for name, columns in open_columns.items():
         if columns:
             accuracy, _ = sketch_limit(thresholds[name])
-            counts = {c: F.approx_count_distinct(f"`{c}`", accuracy) for c in columns}
-            frames.append(
-                _long(tables[name], counts, "estimate").withColumn("name", F.lit(name))
-            )
+            counts = {
+                c: {"estimate": f"approx_count_distinct({sql_name(c)}, {accuracy}D)"} for c in columns
+            }
+            frames.append(fold(name, tables[name], counts))
     union = union_all(frames)
     rows = union.collect() if union is not None else []
-    return {(row["name"], row["column_name"]): row["estimate"] for row in rows}
+    return {
+        (".".join(row[k] for k in TABLE_KEYS), row["column_name"]): row["estimate"] for row in rows
+    }
 
 
 def _tagged_columns(tags: DataFrame | None, tables: Tables) -> set[tuple[str, str]]:
@@ -177,10 +190,11 @@ def low_cardinality(
     }
     fields = {name: {f.name: f for f in countable_columns(t)} for name, t in tables.items()}
     tagged = set() if recheck_tagged else _tagged_columns(tags, tables)
-    still_open = {
-        name: _open_after_first_rows(table, list(fields[name]), limits[name]) if fields[name] else []
-        for name, table in tables.items()
-    }
+    looks = at_once(
+        lambda name: _open_after_first_rows(tables[name], list(fields[name]), limits[name]),
+        list(tables),
+    )
+    still_open = dict(zip(tables, looks))
     estimates = _sketched(tables, still_open, limits)
 
     exact, settled = [], []
@@ -204,26 +218,27 @@ def _exact_values(
     name: str, table: DataFrame, kept: list[T.StructField], tagged: set, threshold: int
 ) -> DataFrame:
     """The kept columns' distinct values from one scan of just these columns."""
-    sets = {f.name: F.sort_array(F.collect_set(as_text(f))) for f in kept}
-    types = F.create_map(*(F.lit(x) for f in kept for x in (f.name, f.dataType.simpleString())))
-    always = [f.name for f in kept if (name, f.name) in tagged]
-    low = F.size("found") <= threshold
-    stays = F.col("column_name").isin(always) if always else F.lit(False)
-    return _long(table, sets, "found").select(
-        *_named(name),
-        "column_name",
-        types[F.col("column_name")].alias("data_type"),
-        (low | stays).alias("is_low_cardinality"),
-        F.when(low, F.col("found")).alias("values"),
+    cells = {
+        f.name: {
+            "data_type": sql_text(f.dataType.simpleString()),
+            "stays": "true" if (name, f.name) in tagged else "false",
+            "found": f"sort_array(collect_set({as_text(f)}))",
+        }
+        for f in kept
+    }
+    low = f"size(found) <= {threshold}"
+    return fold(name, table, cells).selectExpr(
+        *COLUMN_KEYS,
+        "data_type",
+        f"stays or {low} as is_low_cardinality",
+        f"if({low}, found, null) as values",
     )
 
 
 def column_values(table: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values of one column as rows, for columns too varied for a list."""
     field = table.schema[column]
-    return (
-        table.select(as_text(field).alias("value")).where(F.col("value").isNotNull()).distinct()
-    )
+    return table.selectExpr(f"{as_text(field)} as value").where("value is not null").distinct()
 
 
 def with_value_text(profile: DataFrame) -> DataFrame:
@@ -237,14 +252,11 @@ def column_counts(tables: Tables, columns: Mapping[str, list[str]] | None = None
     for name, table in tables.items():
         asked = table.columns if columns is None else columns.get(name, [])
         if asked:
-            rows = F.count(F.lit(1))
             cells = {
-                c: F.struct(rows.alias("row_count"), (rows - F.count(f"`{c}`")).alias("null_count"))
+                c: {"row_count": "count(1)", "null_count": f"count(1) - count({sql_name(c)})"}
                 for c in asked
             }
-            frames.append(
-                _long(table, cells, "counts").select(*_named(name), "column_name", "counts.*")
-            )
+            frames.append(fold(name, table, cells))
     union = union_all(frames)
     if union is None:
         raise ValueError("no columns to count")

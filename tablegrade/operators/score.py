@@ -17,11 +17,8 @@ def metric_rows(signals: DataFrame, names: dict[str, str] | list[str]) -> DataFr
     ``names`` lists the metrics to take, or maps a signal column to the metric it stands for.
     """
     renamed = names if isinstance(names, dict) else {n: n for n in names}
-    cells = [
-        F.struct(F.lit(metric).alias("metric"), F.col(column).alias("value"))
-        for column, metric in renamed.items()
-    ]
-    return signals.select(*TABLE_KEYS, F.inline(F.array(*cells)))
+    cells = [f"named_struct('metric', '{metric}', 'value', {c})" for c, metric in renamed.items()]
+    return signals.selectExpr(*TABLE_KEYS, f"inline(array({', '.join(cells)}))")
 
 
 def _known_metric() -> Column:
@@ -36,8 +33,7 @@ def pivot_metrics(rows: DataFrame) -> DataFrame:
 
     A row with a null value is given and means False. A metric name that is not known fails the job.
     """
-    value = F.coalesce("value", F.lit(False))
-    cells = [F.bool_or(F.when(F.col("metric") == m, value)).alias(m) for m in METRICS]
+    cells = [F.expr(f"bool_or(if(metric = '{m}', coalesce(value, false), null)) as {m}") for m in METRICS]
     return rows.where(_known_metric()).groupBy(*TABLE_KEYS).agg(*cells)
 
 
@@ -47,15 +43,12 @@ def upsert_summary(summary: DataFrame, rows: DataFrame) -> DataFrame:
         summary, pivot_metrics(rows), TABLE_KEYS, METRICS, id_column="table_id", keep_missing=True
     )
     return merged.select(
-        "table_id", *TABLE_KEYS, *(F.coalesce(m, F.lit(False)).alias(m) for m in METRICS)
+        "table_id", *TABLE_KEYS, *(F.expr(f"coalesce({m}, false) as {m}") for m in METRICS)
     )
 
 
 def _points(metrics: dict[str, int]) -> Column:
-    total = F.lit(0)
-    for metric, points in metrics.items():
-        total = total + F.when(F.col(metric), points).otherwise(0)
-    return total
+    return F.expr(" + ".join(f"if({metric}, {points}, 0)" for metric, points in metrics.items()))
 
 
 def score_tables(summary: DataFrame) -> DataFrame:

@@ -97,19 +97,18 @@ def upsert(
     Both joins keep the target on the side that adaptive execution can split when one key is hot,
     and neither shuffles it while the changes are small. A full outer join would allow neither.
     """
-    marked = changes.select(
-        *keys, *(F.col(c).alias(f"_new_{c}") for c in update), F.lit(True).alias("_hit")
-    )
+    new_values = [f"`{c}` as `_new_{c}`" for c in update]
+    marked = changes.selectExpr(*(f"`{k}`" for k in keys), *new_values, "true as _hit")
     joined = target.join(marked, keys, "left")
 
-    def merged(column: str) -> Column:
+    def merged(column: str) -> str:
         if column not in update:
-            return F.col(column)
-        new, old = F.col(f"_new_{column}"), F.col(column)
-        value = F.coalesce(new, old) if keep_missing else F.when(F.col("_hit"), new).otherwise(old)
-        return value.alias(column)
+            return f"`{column}`"
+        if keep_missing:
+            return f"coalesce(`_new_{column}`, `{column}`) as `{column}`"
+        return f"if(_hit, `_new_{column}`, `{column}`) as `{column}`"
 
-    updated = joined.select(*(merged(c) for c in target.columns))
+    updated = joined.selectExpr(*(merged(c) for c in target.columns))
     if not insert:
         return updated
     present = target.join(changes.select(*keys), keys, "left_semi").select(*keys).distinct()

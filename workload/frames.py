@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablegrade.schemas import COLUMN_KEYS, METRICS, TABLE_KEYS
 from tablegrade.sources.catalog import columns_of
@@ -32,8 +33,15 @@ TEST_TABLES = [
 ]
 
 
+#: Schemas read from file footers, so that each is looked up once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def table(catalog: str, schema: str, name: str | Column) -> list[Column]:
