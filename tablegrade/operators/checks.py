@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tablegrade.functions.expressions import clean_check, full_name, is_filled
 from tablegrade.functions.text import sql_name, sql_text
@@ -120,20 +121,27 @@ def check_lines(definition: Column) -> Column:
 def render_checks(checks: DataFrame, per_document: int = 1_000) -> DataFrame:
     """The checks of every table as documents, in order of ``check_id``.
 
-    A table with many checks gets several documents, numbered by ``part``, each complete with its
-    header; checks are dealt out by id, so no task has to hold more than about ``per_document`` of
-    one table. Tables without a filled check get none.
+    A table with more than ``per_document`` checks gets several documents, numbered by ``part``, each
+    complete with its header and holding a run of ids. Runs are formed from counts per id range, which
+    are folded before they are shuffled; the checks themselves are only ever grouped by range, so no
+    group holds more than twice ``per_document``. Tables without a filled check get no document.
     """
-    items = split_checks(checks).select(*TABLE_KEYS, "check_id", "item", "definition")
-    parts = items.groupBy(*TABLE_KEYS).agg(
-        F.ceil(F.count("*") / F.lit(per_document)).cast("bigint").alias("parts")
+    ranges = F.floor(F.col("check_id") / F.lit(per_document)).cast("bigint")
+    items = split_checks(checks).select(
+        *TABLE_KEYS, "check_id", "item", "definition", ranges.alias("range")
+    )
+    before = W.partitionBy(*TABLE_KEYS).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    parts = (
+        items.groupBy(*TABLE_KEYS, "range")
+        .agg(F.count("*").alias("n"))
+        .withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .select(*TABLE_KEYS, "range", F.floor(F.col("seen") / per_document).cast("bigint").alias("part"))
     )
     entry = F.struct("check_id", "item", check_lines(F.col("definition")).alias("text"))
     texts = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"])
     header = F.concat(F.lit("checks for "), full_name(), F.lit(":"))
     return (
-        items.join(parts, TABLE_KEYS)
-        .withColumn("part", F.pmod(F.col("check_id"), F.col("parts")))
+        items.join(parts, [*TABLE_KEYS, "range"])
         .groupBy(*TABLE_KEYS, "part")
         .agg(texts.alias("texts"))
         .select(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegrade.operators.history import comparison_day, version_as_of
+from tablegrade.operators.history import comparison_day, version_as_of_day
 from tablegrade.schemas import COLUMN_KEYS, TABLE_KEYS
 
 
@@ -21,7 +21,7 @@ def past_columns(
     targets = config.select(
         *TABLE_KEYS, comparison_day(as_of, "validity_window").alias("target")
     )
-    picked = version_as_of(history, targets)
+    picked = version_as_of_day(history, targets)
     return schema_versions.join(
         picked.select(*TABLE_KEYS, "version"), [*TABLE_KEYS, "version"]
     ).select(*COLUMN_KEYS, "data_type")

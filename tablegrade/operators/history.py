@@ -75,22 +75,28 @@ def comparison_day(as_of: datetime | str, window: str | Column) -> Column:
     return F.date_trunc("day", moment).cast("timestamp_ntz")
 
 
-def version_as_of(history: DataFrame, targets: DataFrame) -> DataFrame:
+def version_as_of_day(history: DataFrame, targets: DataFrame) -> DataFrame:
     """Version that was current at each table's ``target``, or its earliest one if all are later.
 
-    ``targets`` holds one row per table with a ``target`` timestamp. Both candidates come out of
-    one pass over the history.
+    ``targets`` holds one row per table with a ``target`` that is a midnight. Commits are first folded
+    to the last and first of each day, map-side, so that even the busiest table joins with no more rows
+    than it has days.
     """
     order = F.struct("timestamp", "version")
-    known = F.col("timestamp") <= F.col("target")
+    midnight = F.date_trunc("day", "timestamp").cast("timestamp_ntz")
+    # The first midnight at which a commit is in force; one made exactly then already is.
+    in_force = F.when(F.col("timestamp") == midnight, midnight).otherwise(
+        midnight + F.expr("interval 1 day")
+    )
+    days = history.groupBy(*TABLE_KEYS, in_force.alias("day")).agg(
+        F.max_by("version", order).alias("last"), F.min_by("version", order).alias("first")
+    )
+    known = F.when(F.col("day") <= F.col("target"), F.col("day"))
     return (
-        history.join(targets.select(*TABLE_KEYS, "target"), TABLE_KEYS)
+        days.join(targets.select(*TABLE_KEYS, "target"), TABLE_KEYS)
         .groupBy(*TABLE_KEYS, "target")
         .agg(
-            F.max_by("version", F.when(known, order)).alias("current_then"),
-            F.min_by("version", order).alias("earliest"),
-        )
-        .select(
-            *TABLE_KEYS, "target", F.coalesce("current_then", "earliest").alias("version")
+            F.max_by("last", known).alias("current_then"), F.min_by("first", "day").alias("earliest")
         )
+        .select(*TABLE_KEYS, "target", F.coalesce("current_then", "earliest").alias("version"))
     )

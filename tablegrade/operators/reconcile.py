@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegrade.functions.expressions import full_name, is_filled
-from tablegrade.operators.state import TAG_KEYS, drop_checks, set_tags, unset_tags
+from tablegrade.operators.state import TAG_KEYS, append, delete, drop_checks
 from tablegrade.schemas import COLUMN_KEYS, TABLE_KEYS, TAG_CHECK
 
 
@@ -77,12 +77,16 @@ def reconcile_check_tags(
 ) -> tuple[DataFrame, DataFrame]:
     """Drop stale checks and make the check tags agree with what is left.
 
-    Returns the new ``column_checks`` and ``column_tags``.
+    Returns the new ``column_checks`` and ``column_tags``. Within the scope the check tags are exactly
+    the columns with a filled check, so they are replaced as a whole rather than compared.
     """
     kept = sync_checks(checks, columns, scope)
-    tags = unset_tags(tags, invalid_check_tags(tags, kept, scope))
+    check_tag = F.col("tag_name") == TAG_CHECK
+    others = tags.where(~check_tag)
+    if scope is not None:
+        others = others.unionByName(delete(tags.where(check_tag), scope, TABLE_KEYS))
     marks = checked_columns(in_scope(kept, scope)).withColumn("tag_name", F.lit(TAG_CHECK))
-    return kept, set_tags(tags, marks)
+    return kept, append(others, marks)
 
 
 def pending_columns(columns: DataFrame, tags: DataFrame, tag_name: str) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql import WindowSpec
 
 from tablegrade.schemas import (
     COLUMN_KEYS,
@@ -19,8 +18,9 @@ from tablegrade.schemas import (
     TAG_COMMENT,
 )
 
-#: Hex digits of the key hash that choose a numbering bucket: 16**3 buckets.
+#: Buckets that new rows are numbered in, by the leading hex digits of a hash.
 _BUCKET_DIGITS = 3
+_BUCKETS = 16**_BUCKET_DIGITS
 
 TAG_KEYS = [*COLUMN_KEYS, "tag_name"]
 
@@ -32,44 +32,49 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: str | Column) -> Dat
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
-def assign_ids(rows: DataFrame, id_column: str, after: Column) -> DataFrame:
-    """Number rows ``after + 1, after + 2, …``, ordered by their values within hash buckets.
+def _bucket(columns: list[str]) -> Column:
+    """Bucket number of a row by a hash of some columns."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+    digits = F.substring(F.md5(text.cast("binary")), 1, _BUCKET_DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint")
 
-    Equal rows are first folded to one with a count. The rest falls into a fixed number of buckets
-    by a hash of all values; each bucket is numbered in parallel and shifted by the sizes of the
-    buckets before it. The only step in one task is the running sum over the bucket sizes, at most
-    4,096 rows, which is also what is broadcast. The numbers depend on the values alone, not on how
-    rows are spread, so a recomputed task gives the same ones.
+
+def numbered(rows: DataFrame, number: str, keys: list[str]) -> DataFrame:
+    """Give every row a different positive number, by its key alone.
+
+    Rows fall into 4,096 buckets by a hash of their key and are counted within each, in parallel; the
+    number joins place and bucket, so no step has to see all rows. As with identity columns, numbers
+    may have gaps. They do not depend on how rows are spread, so a recomputed task gives the same ones.
+    ``keys`` should be unique, or one bucket may grow large.
     """
-    values = rows.columns
-    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in values))
-    folded = (
-        rows.groupBy(*values)
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_bucket", F.substring(F.md5(text.cast("binary")), 1, _BUCKET_DIGITS))
+    place = F.row_number().over(W.partitionBy("_bucket").orderBy(*keys)) - 1
+    return (
+        rows.withColumn("_bucket", _bucket(keys))
+        .withColumn(number, (place * _BUCKETS + F.col("_bucket") + 1).cast("bigint"))
+        .drop("_bucket")
     )
 
-    def before(window: WindowSpec) -> WindowSpec:
-        return window.rowsBetween(W.unboundedPreceding, -1)
 
-    offsets = (
-        folded.groupBy("_bucket")
-        .agg(F.sum("_copies").alias("_size"))
-        .select(
-            "_bucket",
-            F.coalesce(F.sum("_size").over(before(W.orderBy("_bucket"))), F.lit(0)).alias("_offset"),
-        )
-    )
-    within = F.sum("_copies").over(before(W.partitionBy("_bucket").orderBy(*values)))
+def numbered_copies(rows: DataFrame, number: str) -> DataFrame:
+    """Like :func:`numbered`, for rows that may be equal to one another.
+
+    Equal rows are folded to one with a count before they are spread over the buckets, and unfolded
+    after.
+    """
+    values = rows.columns
+    before = W.partitionBy("_bucket").orderBy(*values).rowsBetween(W.unboundedPreceding, -1)
+    copies = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)
     return (
-        folded.withColumn("_within", F.coalesce(within, F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        rows.groupBy(*values)
+        .agg(F.count("*").alias("_copies"))
+        .withColumn("_bucket", _bucket(values))
+        .withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+        .withColumn("_copy", F.explode(copies))
         .withColumn(
-            id_column,
-            (after + F.col("_offset") + F.col("_within") + F.col("_copy")).cast("bigint"),
+            number,
+            ((F.col("_before") + F.col("_copy")) * _BUCKETS + F.col("_bucket") + 1).cast("bigint"),
         )
-        .select(id_column, *values)
+        .select(number, *values)
     )
 
 
@@ -84,38 +89,51 @@ def upsert(
     keys: list[str],
     update: list[str],
     *,
-    insert: bool = True,
     id_column: str | None = None,
     keep_missing: bool = False,
 ) -> DataFrame:
-    """Update matching target rows from ``changes`` and, if ``insert``, add the rest.
-
-    Keys compare with plain equality, so a null key part never matches. ``changes`` has at most one
-    row per key (see :func:`latest_per_key`). With ``keep_missing`` a null in ``changes`` means "not
-    given" and keeps the old value. Inserted rows get ids when ``id_column`` is named.
+    """Update matching target rows from ``changes`` and add the rest, in one pass over both.
 
-    Both joins keep the target on the side that adaptive execution can split when one key is hot,
-    and neither shuffles it while the changes are small. A full outer join would allow neither.
+    Keys are unique on both sides (see :func:`latest_per_key`), so no key can be hot. They compare with
+    plain equality: a null key part never matches. With ``keep_missing`` a null in ``changes`` means
+    "not given" and keeps the old value. Added rows get ids when ``id_column`` is named.
     """
-    new_values = [f"`{c}` as `_new_{c}`" for c in update]
-    marked = changes.selectExpr(*(f"`{k}`" for k in keys), *new_values, "true as _hit")
-    joined = target.join(marked, keys, "left")
-
-    def merged(column: str) -> str:
-        if column not in update:
-            return f"`{column}`"
-        if keep_missing:
-            return f"coalesce(`_new_{column}`, `{column}`) as `{column}`"
-        return f"if(_hit, `_new_{column}`, `{column}`) as `{column}`"
-
-    updated = joined.selectExpr(*(merged(c) for c in target.columns))
-    if not insert:
-        return updated
-    present = target.join(changes.select(*keys), keys, "left_semi").select(*keys).distinct()
-    fresh = changes.join(present, keys, "left_anti")
     if id_column:
-        fresh = assign_ids(fresh, id_column, highest_id(target, id_column))
-    return updated.unionByName(fresh.select(*_conformed(fresh, target)))
+        changes = numbered(changes, "_number", keys)
+    new = [c for c in changes.columns if c not in keys]
+    marked = changes.selectExpr(
+        *(f"`{k}`" for k in keys), *(f"`{c}` as `_new_{c}`" for c in new), "true as _hit"
+    )
+    joined = target.withColumn("_old", F.lit(True)).join(marked, keys, "full")
+
+    def merged(column: str) -> Column:
+        if column in keys:
+            return F.col(column)
+        if column == id_column:
+            added = highest_id(target, id_column) + F.col("_new__number")
+            return F.coalesce(F.col(column), added).alias(column)
+        if column not in new:
+            return F.col(column)
+        if column in update:
+            choice = f"coalesce(`_new_{column}`, `{column}`)" if keep_missing else f"if(_hit, `_new_{column}`, `{column}`)"
+        else:
+            choice = f"if(_old, `{column}`, `_new_{column}`)"
+        return F.expr(choice).alias(column)
+
+    return joined.select(*(merged(c) for c in target.columns))
+
+
+def update(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Update matching target rows only; several may match one change.
+
+    The target is the side of the join that adaptive execution can split when one key is hot, and it
+    is not shuffled at all while the changes are small.
+    """
+    marked = changes.selectExpr(
+        *(f"`{k}`" for k in keys), *(f"`{c}` as `_new_{c}`" for c in columns), "true as _hit"
+    )
+    merged = (f"if(_hit, `_new_{c}`, `{c}`) as `{c}`" if c in columns else f"`{c}`" for c in target.columns)
+    return target.join(marked, keys, "left").selectExpr(*merged)
 
 
 def _conformed(rows: DataFrame, target: DataFrame) -> list[Column]:
@@ -126,15 +144,17 @@ def _conformed(rows: DataFrame, target: DataFrame) -> list[Column]:
     ]
 
 
-def append(
-    target: DataFrame, rows: DataFrame, *, id_column: str | None = None
-) -> DataFrame:
-    """Add rows without matching; absent columns become null, ids are assigned if named."""
-    if id_column:
-        rows = assign_ids(rows, id_column, highest_id(target, id_column))
+def append(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """Add rows without matching; columns they lack become null."""
     return target.unionByName(rows.select(*_conformed(rows, target)))
 
 
+def append_numbered(target: DataFrame, rows: DataFrame, id_column: str) -> DataFrame:
+    """Add rows whose ``id_column`` holds a number from :func:`numbered`, as ids after the highest."""
+    ids = highest_id(target, id_column) + F.col(id_column)
+    return append(target, rows.withColumn(id_column, ids))
+
+
 def delete(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """Remove the rows whose key is in ``gone``."""
     return target.join(gone.select(*keys), keys, "left_anti")
@@ -148,21 +168,6 @@ def latest_config(config: DataFrame) -> DataFrame:
     return latest_per_key(config, TABLE_KEYS, "_id").select(*config.columns)
 
 
-def nested_config(config: DataFrame) -> DataFrame:
-    """Configuration of each schema as a map from table name to its parameters.
-
-    One map holds one schema's tables, as in a catalog listing; use :func:`latest_config` itself
-    wherever rows will do.
-    """
-    fields = ("low_cardinality_threshold", "freshness_window", "validity_window")
-    entry = F.struct("table_name", F.struct(*fields).alias("params"))
-    return (
-        latest_config(config)
-        .groupBy("catalog_name", "schema_name")
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("tables"))
-    )
-
-
 _CONFIG_VALUES = ["low_cardinality_threshold", "freshness_window", "validity_window", "tag"]
 
 
@@ -186,9 +191,9 @@ def upsert_config(config: DataFrame, changes: DataFrame) -> DataFrame:
 
 def seed_config(config: DataFrame, tables: DataFrame) -> DataFrame:
     """Default rows for the tables that have no configuration yet; customised rows stay."""
-    known = config.select(*TABLE_KEYS).distinct()
-    missing = tables.select(*TABLE_KEYS).distinct().join(known, TABLE_KEYS, "left_anti")
-    return append(config, _with_config_defaults(missing), id_column="_id")
+    missing = delete(tables.select(*TABLE_KEYS), config, TABLE_KEYS).distinct()
+    rows = numbered(_with_config_defaults(missing), "_id", TABLE_KEYS)
+    return append_numbered(config, rows, "_id")
 
 
 # --- checks -------------------------------------------------------------------------------------
@@ -196,18 +201,26 @@ def seed_config(config: DataFrame, tables: DataFrame) -> DataFrame:
 
 def add_checks(checks: DataFrame, rows: DataFrame) -> DataFrame:
     """Append hand-written checks (no tag) with new ids."""
-    return append(checks, rows.select(*COLUMN_KEYS, "check"), id_column="check_id")
+    rows = numbered_copies(rows.select(*COLUMN_KEYS, "check"), "check_id")
+    return append_numbered(checks, rows, "check_id")
 
 
 def upsert_checks(checks: DataFrame, changes: DataFrame) -> DataFrame:
-    """Set checks by column and tag. An untagged change never matches and is always added."""
-    return upsert(checks, changes, [*COLUMN_KEYS, "tag"], ["check"], id_column="check_id")
+    """Set checks by column and tag. An untagged change never matches and is always added.
+
+    Several stored checks may share a column and tag; all of them are set. Whether a change is new is
+    decided against the distinct stored keys, which are folded before they are shuffled.
+    """
+    keys = [*COLUMN_KEYS, "tag"]
+    stored = checks.where("tag is not null").select(*keys).distinct()
+    added = numbered(changes.join(stored, keys, "left_anti"), "check_id", keys)
+    return append_numbered(update(checks, changes, keys, ["check"]), added, "check_id")
 
 
 def update_checks_by_id(checks: DataFrame, changes: DataFrame) -> DataFrame:
     """Set text and tag of existing checks by id, schema, table and column; adds nothing."""
     keys = ["check_id", "schema_name", "table_name", "column_name"]
-    return upsert(checks, changes, keys, ["check", "tag"], insert=False)
+    return update(checks, changes, keys, ["check", "tag"])
 
 
 def drop_checks(checks: DataFrame, ids: DataFrame) -> DataFrame:
@@ -237,6 +250,6 @@ def set_comments(
 
     ``changes`` carries ``comment`` per column. Returns the new ``columns`` and ``column_tags``.
     """
-    described = upsert(columns, changes, COLUMN_KEYS, ["comment"], insert=False)
+    described = update(columns, changes, COLUMN_KEYS, ["comment"])
     marks = changes.select(*COLUMN_KEYS, F.lit(TAG_COMMENT).alias("tag_name"))
     return described, set_tags(tags, marks)

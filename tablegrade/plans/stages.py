@@ -38,6 +38,7 @@ from tablegrade.operators.suggest import draft_descriptions, suggest_checks
 from tablegrade.schemas import (
     COLUMN_KEYS,
     DEFAULT_THRESHOLD,
+    TABLE_KEYS,
     TAG_CHECK,
     TAG_COMMENT,
     UNSEEDED_SCHEMAS,
@@ -142,12 +143,17 @@ def graded_metrics(
     that an earlier value stays.
     """
     config = latest_config(config)
-    columns = in_scope(state.columns, config)
+    # Columns are folded to one row per table first and limited to the configured tables after.
     signals = steward_signals(
-        in_scope(facts.tables, config), facts.properties, facts.history, columns, state.checks
+        in_scope(facts.tables, config),
+        facts.properties,
+        facts.history,
+        state.columns,
+        state.checks,
     )
+    described = in_scope(columns_described(state.columns), config)
     past = past_columns(facts.history, facts.schema_versions, config, as_of)
-    drift = schema_drift(in_scope(columns, past), past)
+    drift = schema_drift(in_scope(state.columns, past.select(*TABLE_KEYS).distinct()), past)
     passed = check_rollup(evaluate_checks(spark, in_scope(state.checks, config), tables))
     return union_all(
         [
@@ -164,7 +170,7 @@ def graded_metrics(
                     "all_columns_have_checks",
                 ],
             ),
-            metric_rows(columns_described(columns), ["columns_description"]),
+            metric_rows(described, ["columns_description"]),
             metric_rows(freshness(facts.history, config, as_of), ["is_fresh"]),
             metric_rows(
                 drift,
@@ -184,18 +190,10 @@ def grade(
     summary: DataFrame,
     as_of: datetime | str,
 ) -> DataFrame:
-    """The summary with this run's metrics of every configured table, from a single upsert."""
-    rows = graded_metrics(spark, tables, config, facts, state, as_of)
-    return upsert_summary(summary, rows)
+    """The summary with this run's metrics of every configured table, from a single upsert.
 
+    The metric rows rest on scans of the data, so they are stored once before they are merged.
+    """
+    rows = checkpointed(graded_metrics(spark, tables, config, facts, state, as_of))
+    return upsert_summary(summary, rows)
 
-__all__ = [
-    "ColumnState",
-    "TableFacts",
-    "enrich",
-    "grade",
-    "graded_metrics",
-    "seed",
-    "suggest",
-    "thresholds_of",
-]

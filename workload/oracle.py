@@ -171,13 +171,10 @@ FROM (
     {", ".join(f"(user_id + {i}) % 3 = 0 AS {m}" for i, m in enumerate(ALL_METRICS))}
   FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY user_id, event_type) o
 FULL JOIN (
-  SELECT p.*, CASE WHEN event_type IN ('signup', 'purchase') THEN row_number() OVER (
-      PARTITION BY event_type IN ('signup', 'purchase')
-      ORDER BY substr(md5(concat_ws('|', 'lake', 'sum', substr(table_name, 10),
-        {", ".join(f"coalesce(CAST({m} AS VARCHAR), '')" for m in ALL_METRICS)})), 1, 3), table_name) END AS new_id
-  FROM (SELECT table_name, event_type,
+  SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY table_name) - 1) * 4096 + bucket + 1 AS new_id
+  FROM (SELECT table_name, CAST('0x' || substr(md5('lake|sum|' || substr(table_name, 10)), 1, 3) AS BIGINT) AS bucket,
       {", ".join(f"bool_or(value) FILTER (metric = '{m}') AS {m}" for m in ALL_METRICS)}
-    FROM metric_rows GROUP BY table_name, event_type) p) n USING (table_name)""",
+    FROM metric_rows GROUP BY table_name)) n USING (table_name)""",
     "scored": f"""
 SELECT *, stewardship + usability + freshness + validity + accuracy AS score FROM (SELECT table_name, {", ".join(
     "CAST(" + " + ".join(f"CASE WHEN {m} THEN {p} ELSE 0 END" for m, k, p in METRIC_POINTS if k == d) + f" AS INT) AS {d}"
@@ -226,15 +223,18 @@ def sql(name: str, frames: str, select: str) -> None:
     ORACLE[name] = head + select.strip()
 
 
-def numbered(rows: str, columns: str, after: str, id_column: str) -> str:
-    """Rows with ids after ``after``, in hash buckets of their values."""
-    names = columns.split(", ")
+def _number(keys: str) -> str:
+    """Number of a row: its place in a hash bucket of its key, and the bucket."""
+    names = keys.split(", ")
     text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in names)
+    bucket = f"CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 3) AS BIGINT)"
     order = ", ".join(f"{c} NULLS FIRST" for c in names)
-    return (
-        f"SELECT {after} + row_number() OVER (ORDER BY substr(md5(concat_ws('|', {text})), 1, 3), {order}) "
-        f"AS {id_column}, {columns} FROM ({rows})"
-    )
+    return f"(row_number() OVER (PARTITION BY {bucket} ORDER BY {order}) - 1) * 4096 + {bucket} + 1"
+
+
+def numbered(rows: str, keys: str, after: str, id_column: str) -> str:
+    """Rows with ids after ``after``, in hash buckets of their key."""
+    return f"SELECT *, {after} + {_number(keys)} AS {id_column} FROM ({rows})"
 
 
 # --- commit history -------------------------------------------------------------------------------
@@ -510,19 +510,17 @@ sql(
 )
 
 
-def _documents(part: str, group: str) -> str:
-    return f"""SELECT table_name, {part} AS part, 'checks for ' || table_name || ':' || chr(10) || string_agg('  - '
+def _documents(per_document: int) -> str:
+    return f"""SELECT table_name, part, 'checks for ' || table_name || ':' || chr(10) || string_agg('  - '
     || regexp_replace(regexp_replace("check", '^\\s*(- )?', ''), '\\n\\s*', chr(10) || '      '), chr(10) ORDER BY check_id)
     AS yaml_content
-FROM (SELECT *, count(*) OVER (PARTITION BY table_name) AS n FROM filled) GROUP BY {group}"""
+FROM (SELECT *, CAST(floor(coalesce(sum(1) OVER (PARTITION BY table_name ORDER BY check_id // {per_document}
+    RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {per_document}) AS BIGINT) AS part FROM filled)
+GROUP BY table_name, part"""
 
 
-sql("render_checks", "filled", _documents("CAST(0 AS BIGINT)", "table_name"))
-sql(
-    "render_checks_in_parts",
-    "filled",
-    _documents("CAST(check_id % CAST(ceil(n / 2) AS BIGINT) AS BIGINT)", "table_name, part"),
-)
+sql("render_checks", "filled", _documents(1000))
+sql("render_checks_in_parts", "filled", _documents(2))
 
 
 def _in_list(column: str, *values: str) -> str:
@@ -587,41 +585,33 @@ _CONFIG_COLUMNS = (
     "catalog_name, schema_name, table_name, low_cardinality_threshold, freshness_window, validity_window, tag"
 )
 sql("config_latest", "config", f"SELECT {_CONFIG} FROM config")
-sql(
-    "config_nested",
-    "config",
-    """SELECT catalog_name, schema_name, table_name, low_cardinality_threshold, freshness_window, validity_window
-FROM config""",
-)
 _LAST_ID = "(SELECT max(_id) FROM config)"
 _NEW_CONFIG = """SELECT 'lake' AS catalog_name, 'NATION_' || s_nationkey AS schema_name, s_name AS table_name,
   CASE WHEN s_acctbal > 5000 THEN 25 ELSE 10 END AS low_cardinality_threshold,
   CASE WHEN s_nationkey > 10 THEN '7d' ELSE '1d' END AS freshness_window, '1d' AS validity_window, 'seen' AS tag
 FROM supplier WHERE s_acctbal > 5000 OR s_acctbal < 0"""
-# Inserted rows keep the order in which the changes name their columns, the defaults last.
-_NEW_ORDER = "catalog_name, schema_name, table_name, low_cardinality_threshold, freshness_window, tag, validity_window"
+_KEYS = "catalog_name, schema_name, table_name"
 sql(
     "config_upsert",
     "config",
     f"""SELECT {_CONFIG} FROM (
   SELECT _id, {_CONFIG_COLUMNS} FROM config WHERE table_name NOT IN (SELECT table_name FROM ({_NEW_CONFIG}))
-  UNION ALL SELECT c._id, n.* FROM config c JOIN ({_NEW_CONFIG}) n USING (table_name)
-  UNION ALL SELECT _id, {_CONFIG_COLUMNS} FROM (""" + numbered(
-        f"SELECT * FROM ({_NEW_CONFIG}) WHERE table_name NOT IN (SELECT table_name FROM config)",
-        _NEW_ORDER, _LAST_ID, "_id") + "))",
+  UNION ALL SELECT coalesce(c._id, n._id), n.* EXCLUDE (_id)
+  FROM ({numbered(_NEW_CONFIG, _KEYS, _LAST_ID, "_id")}) n LEFT JOIN config c USING (table_name))""",
 )
 sql(
     "seed_config",
     "config all_schemas monitorable",
     f"SELECT {_CONFIG} FROM (SELECT _id, {_CONFIG_COLUMNS} FROM config UNION ALL "
+    f"SELECT _id, {_CONFIG_COLUMNS} FROM ("
     + numbered(
         """SELECT DISTINCT catalog_name, schema_name, table_name, 10 AS low_cardinality_threshold,
   '1d' AS freshness_window, '1d' AS validity_window, CAST(NULL AS VARCHAR) AS tag
 FROM monitorable m WHERE schema_name IN (SELECT schema_name FROM all_schemas) AND schema_name NOT IN ('default',
   'information_schema', 'data_quality', 'models', 'models_monitoring', 'analytics', 'curated', 'raw')
   AND NOT EXISTS (SELECT 1 FROM config c WHERE c.schema_name = m.schema_name AND c.table_name = m.table_name)""",
-        _CONFIG_COLUMNS, _LAST_ID, "_id")
-    + ")",
+        _KEYS, _LAST_ID, "_id")
+    + "))",
 )
 _LAST_CHECK = "(SELECT max(o_orderkey) FROM orders)"
 _STORED = "SELECT table_name, check_id, column_name, \"check\", tag FROM crm_checks"
@@ -642,7 +632,7 @@ UNION ALL SELECT {_FULL}, tag FROM ("""
     + numbered(
         """SELECT * FROM changes n WHERE NOT EXISTS (SELECT 1 FROM crm_checks c
   WHERE c.column_name = n.column_name AND c.tag = n.tag)""",
-        'catalog_name, schema_name, table_name, column_name, tag, "check"', _LAST_CHECK, "check_id")
+        'catalog_name, schema_name, table_name, column_name, tag', _LAST_CHECK, "check_id")
     + ")",
 )
 sql(

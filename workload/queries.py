@@ -116,7 +116,7 @@ def asof_version(spark, folder):
     targets = W.user_config(spark, folder).select(
         *TABLE_KEYS, H.comparison_day(W.AS_OF, "validity_window").alias("target")
     )
-    return flat(H.version_as_of(W.user_history(spark, folder), targets))
+    return flat(H.version_as_of_day(W.user_history(spark, folder), targets))
 
 
 # --- schema drift ---------------------------------------------------------------------------------
@@ -427,15 +427,6 @@ def config_latest(spark, folder):
     return flat(K.latest_config(W.stored_config(spark, folder)))
 
 
-@query
-def config_nested(spark, folder):
-    """Parameters looked up in the nested form and laid out as rows again."""
-    nested = K.nested_config(W.stored_config(spark, folder))
-    return nested.select(
-        "catalog_name", "schema_name", F.explode("tables").alias("table_name", "params")
-    ).select(*TABLE_KEYS, "params.*")
-
-
 @query
 def config_upsert(spark, folder):
     stored = K.latest_config(W.stored_config(spark, folder))
