@@ -33,7 +33,12 @@ def instant(moment: datetime | str | Column) -> Column:
 def is_filled(text: str | Column) -> Column:
     """True when a text is neither null nor blank; never null itself."""
     column = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.trim(column) != "", F.lit(False))
+    return F.coalesce(column.rlike(r"\S"), F.lit(False))
+
+
+def stripped(text: Column) -> Column:
+    """A text without white space of any kind around it."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def _unit_total(window: Column, unit: str) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 def sql_name(name: str) -> str:
     """A column name or one part of a table name, quoted."""
+    if "${" in name:
+        raise ValueError(f"a name that SQL text would expand: {name}")
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -17,7 +19,8 @@ def sql_text(value: str | None) -> str:
     """A text literal, quoted and escaped."""
     if value is None:
         return "NULL"
-    escapes = {"\\": "\\\\", "'": "\\'", "\n": "\\n", "\r": "\\r", "\0": "\\0"}
+    # A dollar sign is escaped because ``${…}`` would be expanded even inside a literal.
+    escapes = {"\\": "\\\\", "'": "\\'", "\n": "\\n", "\r": "\\r", "\0": "\\0", "$": "\\u0024"}
     return "'" + "".join(escapes.get(c, c) for c in value) + "'"
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tablegrade.functions.expressions import clean_check, full_name, is_filled
+from tablegrade.functions.expressions import clean_check, full_name, is_filled, stripped
 from tablegrade.functions.text import sql_name, sql_text
 from tablegrade.operators.profile import Tables, fold, union_all
 from tablegrade.schemas import TABLE_KEYS
@@ -80,7 +80,7 @@ def parse_checks(checks: DataFrame) -> DataFrame:
         return F.nullif(F.regexp_extract("check_name", _METRIC, group), F.lit(""))
 
     listed = F.regexp_extract_all(F.col("_list"), F.lit(_LIST_ITEM), F.lit(0))
-    filled_rest = F.size(F.filter(F.col("_rest"), lambda line: F.trim(line) != ""))
+    filled_rest = F.size(F.filter(F.col("_rest"), lambda line: line.rlike(r"\S")))
     one_setting = (filled_rest == 1) & (
         F.col("valid_values").isNotNull() != F.col("invalid_regex").isNotNull()
     )
@@ -113,7 +113,7 @@ def check_lines(definition: Column) -> Column:
     lines = F.split(definition, r"\n")
     first = F.concat(F.lit("  - "), F.element_at(lines, 1))
     others = F.transform(
-        F.slice(lines, 2, F.size(lines)), lambda line: F.concat(F.lit("      "), F.trim(line))
+        F.slice(lines, 2, F.size(lines)), lambda line: F.concat(F.lit("      "), stripped(line))
     )
     return F.array_join(F.concat(F.array(first), others), "\n")
 
@@ -164,16 +164,24 @@ _VALUES = T.StructType(
 )
 
 
+def _compiles(spark: SparkSession, patterns: list[str]) -> bool:
+    """Whether Spark can compile all the patterns; a constant expression, so no job runs."""
+    tries = ", ".join(f"text rlike {sql_text(p)}" for p in patterns)
+    try:
+        spark.sql(f"select {tries} from values ('') as t(text)").collect()
+        return True
+    except Exception as error:
+        if len(patterns) == 1:
+            log.warning("not a valid pattern: %r (%s)", patterns[0], type(error).__name__)
+        return False
+
+
 def _known_patterns(spark: SparkSession, patterns: Iterable[str]) -> set[str]:
-    """The patterns Spark can compile; tried on an empty text, without reading any data."""
-    good = set()
-    for pattern in sorted(set(patterns)):
-        try:
-            spark.range(1).select(F.lit("").rlike(pattern)).collect()
-            good.add(pattern)
-        except Exception as error:
-            log.warning("pattern %r is not valid: %s", pattern, type(error).__name__)
-    return good
+    """The patterns Spark can compile; all at once if all can, else one by one."""
+    wanted = sorted(set(patterns))
+    if not wanted or _compiles(spark, wanted):
+        return set(wanted)
+    return {p for p in wanted if _compiles(spark, [p])}
 
 
 def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: str | None) -> str:

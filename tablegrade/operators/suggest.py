@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablegrade.functions.expressions import stripped
 from tablegrade.schemas import COLUMN_KEYS, GENERATED
 
 DESCRIPTION_PROMPT = (
@@ -75,7 +76,7 @@ def draft_descriptions(columns: DataFrame, profile: DataFrame) -> DataFrame:
 
     Values of low-cardinality columns are added as "valid values", once.
     """
-    present = F.regexp_replace(F.trim(F.coalesce("comment", F.lit(""))), r"\.?\s*valid values: .*$", "")
+    present = F.regexp_replace(stripped(F.coalesce("comment", F.lit(""))), r"(?is)\.?\s*valid values: .*$", "")
     words = F.regexp_replace(F.regexp_replace("column_name", "_", " "), r"\s+", " ")
     start = F.concat(F.upper(F.substring(words, 1, 1)), words.substr(F.lit(2), F.length(words)))
     optional = F.when(F.col("is_nullable") == "YES", ", may be empty").otherwise("")

@@ -1,7 +1,8 @@
 """The four stages of a grading run, each a function from frames to frames.
 
-``seed → enrich → suggest → grade``. A stage never writes state; store what it returns with
-``sources.state_files.write_state`` and hand the stored frame to the next stage.
+``seed → enrich → suggest → grade``. A stage returns the new state; store it with
+``sources.state_files.write_state``, or within one run with ``ColumnState.stored``, and hand the stored
+frames to the next stage.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tablegrade.operators.history import freshness
 from tablegrade.operators.inventory import list_schemas, list_tables
 from tablegrade.operators.profile import (
     Tables,
+    at_once,
     column_counts,
     low_cardinality,
     union_all,
@@ -43,7 +45,7 @@ from tablegrade.schemas import (
     TAG_COMMENT,
     UNSEEDED_SCHEMAS,
 )
-from tablegrade.sources.state_files import checkpointed
+from tablegrade.sources.state_files import stored_once
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,11 @@ class ColumnState:
     tags: DataFrame
     checks: DataFrame
 
+    def stored(self) -> ColumnState:
+        """The same frames, each written to the shared folder once; for use between stages."""
+        frames = at_once(stored_once, [self.columns, self.tags, self.checks])
+        return ColumnState(*frames)
+
 
 def seed(config: DataFrame, schemas: DataFrame, tables: DataFrame) -> DataFrame:
     """Default configuration for every monitored table that has none."""
@@ -83,10 +90,10 @@ def enrich(
     are used several times and rest on scans of the data, so they are stored once each.
     """
     checks, tags = reconcile_check_tags(state.tags, state.checks, state.columns, config)
-    profile = checkpointed(
+    profile = stored_once(
         low_cardinality(spark, tables, thresholds_of(config, tables), tags)
     )
-    tags = checkpointed(update_low_cardinality_tags(profile, tags))
+    tags = stored_once(update_low_cardinality_tags(profile, tags))
     pending = in_scope(pending_columns(state.columns, tags, TAG_COMMENT), config)
     drafts = draft_descriptions(pending, profile)
     columns, tags = set_comments(state.columns, tags, drafts)
@@ -110,7 +117,7 @@ def suggest(
     if not asked:
         return state
     columns = {name: sorted(found) for name, found in asked.items()}
-    drafts = checkpointed(suggest_checks(profile, column_counts(tables, columns)))
+    drafts = stored_once(suggest_checks(profile, column_counts(tables, columns)))
     marks = drafts.select(*COLUMN_KEYS, F.lit(TAG_CHECK).alias("tag_name"))
     return replace(
         state,
@@ -194,6 +201,6 @@ def grade(
 
     The metric rows rest on scans of the data, so they are stored once before they are merged.
     """
-    rows = checkpointed(graded_metrics(spark, tables, config, facts, state, as_of))
+    rows = stored_once(graded_metrics(spark, tables, config, facts, state, as_of))
     return upsert_summary(summary, rows)
 

@@ -8,6 +8,7 @@ lineage between the stages of a run.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,13 +36,12 @@ def read_state(spark: SparkSession, root: str, name: str, run: str | None) -> Da
     return spark.read.schema(schema).parquet(state_path(root, name, run))
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame stored in the session's checkpoint folder, so that it is computed once.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without one gets a temporary
-    folder; on a cluster that would not be seen by the other machines.
+    Only a local session without one gets a temporary folder; on a cluster that would not be seen by
+    the other machines.
     """
-    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,4 +50,15 @@ def checkpointed(frame: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
-    return frame.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def stored_once(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back, so that it is computed once.
+
+    Unlike cached data it outlives the executors that made it; unlike a checkpoint the last stage runs
+    once, and readers can skip columns.
+    """
+    path = f"{shared_folder(frame.sparkSession)}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -511,9 +511,9 @@ def main_properties(spark: SparkSession) -> DataFrame:
     )
 
 
-def main_versions(spark: SparkSession, folder: str) -> DataFrame:
+def main_versions(spark: SparkSession, folder: str, history: DataFrame) -> DataFrame:
     """Past schemas of the dated tables at every commit: lineitem lacked its tax, events had text values."""
-    commits = main_history(spark, folder).select(*TABLE_KEYS, "version")
+    commits = history.select(*TABLE_KEYS, "version")
     columns = columns_of(spark, monitored(spark, folder)).select(*COLUMN_KEYS, "data_type")
     then = columns.where("not (table_name = 'lineitem' and column_name = 'l_tax')").withColumn(
         "data_type",

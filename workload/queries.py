@@ -33,7 +33,7 @@ from tablegrade.schemas import (
 )
 from tablegrade.sources.catalog import columns_of
 from tablegrade.sources.knowledge_base import append_knowledge
-from tablegrade.sources.state_files import checkpointed
+from tablegrade.sources.state_files import stored_once
 from workload import frames as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,7 +364,7 @@ def low_cardinality_tags(spark, folder):
     """Tags after a profile that looks again at tagged columns."""
     tags = _main_tags(spark, folder)
     tables = W.monitored(spark, folder)
-    profile = checkpointed(P.low_cardinality(spark, tables, tags=tags, recheck_tagged=True))
+    profile = stored_once(P.low_cardinality(spark, tables, tags=tags, recheck_tagged=True))
     return flat(P.update_low_cardinality_tags(profile, tags))
 
 
@@ -603,7 +603,7 @@ def suggested_check_results(spark, folder):
     """Checks drafted from the data, run on the data: each of them holds."""
     tables = W.checked_tables(spark, folder)
     drafts = U.suggest_checks(P.low_cardinality(spark, tables), P.column_counts(tables))
-    stored = checkpointed(K.upsert_checks(spark.createDataFrame([], COLUMN_CHECKS), drafts))
+    stored = stored_once(K.upsert_checks(spark.createDataFrame([], COLUMN_CHECKS), drafts))
     return flat(
         C.evaluate_checks(spark, stored, tables).select(
             *COLUMN_KEYS, F.col("item").cast("bigint").alias("item"), "metric", "value", "outcome"
@@ -639,11 +639,13 @@ def build_prompts(spark, folder):
 
 
 def _facts(spark, folder) -> stages.TableFacts:
+    """What a catalog would know; the history is drawn from the data by one scan of its dates."""
+    history = stored_once(W.main_history(spark, folder))
     return stages.TableFacts(
         W.main_tables(spark),
         W.main_properties(spark),
-        W.main_history(spark, folder),
-        W.main_versions(spark, folder),
+        history,
+        W.main_versions(spark, folder, history),
     )
 
 
@@ -678,7 +680,7 @@ def scoreboard_after_enrichment(spark, folder):
         W.declared_checks(spark),
     )
     state, profile = stages.enrich(spark, tables, config, state)
-    state = stages.suggest(tables, profile, config, state)
+    state = stages.suggest(tables, profile, config, state.stored()).stored()
     summary = stages.grade(
         spark,
         tables,
