@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegrade.functions.expressions import full_name, is_filled
-from tablegrade.operators.state import TAG_KEYS, append, delete, drop_checks
+from tablegrade.operators.state import TAG_KEYS, append, delete
 from tablegrade.schemas import COLUMN_KEYS, TABLE_KEYS, TAG_CHECK
 
 
@@ -33,31 +33,38 @@ def columns_with_checks(checks: DataFrame) -> DataFrame:
     )
 
 
+def _with_live_mark(checks: DataFrame, columns: DataFrame) -> DataFrame:
+    """Checks with ``_live``, null where their column is gone.
+
+    The checks stay on the side of the join that can be split when one column has very many.
+    """
+    live = columns.select(*COLUMN_KEYS).distinct().withColumn("_live", F.lit(True))
+    return checks.join(live, COLUMN_KEYS, "left")
+
+
 def stale_checks(checks: DataFrame, columns: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """Ids of checks to drop: without text, or on a column that no longer exists.
 
     ``reason`` is ``blank`` or ``orphaned``.
     """
-    checks = in_scope(checks, scope)
-    blank = checks.where(~is_filled("check")).select("check_id", F.lit("blank").alias("reason"))
-    orphaned = (
-        checks.where(is_filled("check"))
-        .join(columns.select(*COLUMN_KEYS), COLUMN_KEYS, "left_anti")
-        .select("check_id", F.lit("orphaned").alias("reason"))
+    reason = F.when(~is_filled("check"), "blank").when(F.col("_live").isNull(), "orphaned")
+    return (
+        _with_live_mark(in_scope(checks, scope), columns)
+        .select("check_id", reason.alias("reason"))
+        .where("reason is not null")
     )
-    return blank.unionByName(orphaned)
 
 
 def sync_checks(checks: DataFrame, columns: DataFrame, scope: DataFrame | None = None) -> DataFrame:
-    """The checks that remain once the stale ones are gone.
-
-    Without a scope this keeps what matches a live column, with no detour over ids.
-    """
-    if scope is not None:
-        return drop_checks(checks, stale_checks(checks, columns, scope))
-    return checks.where(is_filled("check")).join(
-        columns.select(*COLUMN_KEYS), COLUMN_KEYS, "left_semi"
-    )
+    """The checks that remain once the stale ones are gone, from one pass over them."""
+    if scope is None:
+        return checks.where(is_filled("check")).join(
+            columns.select(*COLUMN_KEYS), COLUMN_KEYS, "left_semi"
+        )
+    scoped = scope.select(*TABLE_KEYS).distinct().withColumn("_scoped", F.lit(True))
+    stays = is_filled("check") & F.col("_live").isNotNull()
+    marked = _with_live_mark(checks, columns).join(scoped, TABLE_KEYS, "left")
+    return marked.where(F.col("_scoped").isNull() | stays).select(*checks.columns)
 
 
 def invalid_check_tags(

@@ -13,6 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tablegrade.schemas import DEFAULT_TOP_K
 
@@ -68,18 +69,11 @@ def _best_of_slice(queries: np.ndarray, documents: np.ndarray, k: int, digits: i
 def _ranked(matches: DataFrame, k: int) -> DataFrame:
     """The best ``k`` of each query's partial results, with their rank.
 
-    A query has at most ``k`` partial results per document block.
+    Spark cuts each task's rows to the best ``k`` per query before it shuffles them.
     """
-    entry = F.struct((-F.col("score")).alias("order"), "doc_id", "score")
-    best = F.slice(F.array_sort(F.collect_list(entry)), 1, k)
-    return (
-        matches.groupBy("query_id")
-        .agg(best.alias("best"))
-        .select("query_id", F.posexplode("best").alias("at", "match"))
-        .select(
-            "query_id", (F.col("at") + 1).cast("bigint").alias("rank"), "match.doc_id", "match.score"
-        )
-    )
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    ranked = matches.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
 
 
 def top_k_similar(

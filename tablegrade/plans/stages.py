@@ -7,6 +7,7 @@ frames to the next stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -48,6 +49,22 @@ from tablegrade.schemas import (
 from tablegrade.sources.state_files import stored_once
 
 
+#: Tables whose scans go into one query plan.
+TABLES_AT_ONCE = 200
+
+
+def in_batches(tables: Tables, run: Callable[[Tables], DataFrame]) -> DataFrame:
+    """What ``run`` gives for all tables, a limited number of tables per plan.
+
+    With more than one batch each result is stored, so that no plan grows with the catalog.
+    """
+    names = list(tables)
+    batches = [names[i : i + TABLES_AT_ONCE] for i in range(0, len(names), TABLES_AT_ONCE)]
+    if len(batches) <= 1:
+        return run(tables)
+    return union_all([stored_once(run({n: tables[n] for n in batch})) for batch in batches])
+
+
 @dataclass(frozen=True)
 class ColumnState:
     """What is stored about columns: their inventory, tags and checks."""
@@ -90,8 +107,9 @@ def enrich(
     are used several times and rest on scans of the data, so they are stored once each.
     """
     checks, tags = reconcile_check_tags(state.tags, state.checks, state.columns, config)
+    limits = thresholds_of(config, tables)
     profile = stored_once(
-        low_cardinality(spark, tables, thresholds_of(config, tables), tags)
+        in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags))
     )
     tags = stored_once(update_low_cardinality_tags(profile, tags))
     pending = in_scope(pending_columns(state.columns, tags, TAG_COMMENT), config)
@@ -117,7 +135,9 @@ def suggest(
     if not asked:
         return state
     columns = {name: sorted(found) for name, found in asked.items()}
-    drafts = stored_once(suggest_checks(profile, column_counts(tables, columns)))
+    pending_tables = {name: tables[name] for name in columns}
+    counts = in_batches(pending_tables, lambda some: column_counts(some, columns))
+    drafts = stored_once(suggest_checks(profile, counts))
     marks = drafts.select(*COLUMN_KEYS, F.lit(TAG_CHECK).alias("tag_name"))
     return replace(
         state,
@@ -161,7 +181,8 @@ def graded_metrics(
     described = in_scope(columns_described(state.columns), config)
     past = past_columns(facts.history, facts.schema_versions, config, as_of)
     drift = schema_drift(in_scope(state.columns, past.select(*TABLE_KEYS).distinct()), past)
-    passed = check_rollup(evaluate_checks(spark, in_scope(state.checks, config), tables))
+    checks = in_scope(state.checks, config)
+    passed = check_rollup(in_batches(tables, lambda some: evaluate_checks(spark, checks, some)))
     return union_all(
         [
             metric_rows(

@@ -328,6 +328,11 @@ FROM (SELECT table_name, {_COUNTS},
 
 # --- inventory ------------------------------------------------------------------------------------
 
+sql(
+    "column_names",
+    "crm_columns",
+    "SELECT table_name || '.' || column_name AS full_name, column_name AS base_name FROM crm_columns",
+)
 sql(
     "list_schemas",
     "all_schemas",
@@ -651,6 +656,8 @@ sql(
     """SELECT CAST(item_id AS VARCHAR) AS check_id, 'missing_count(c' || item_id || ') = 0' AS check_syntax,
   text AS description FROM benchmark""",
 )
+sql("kb_from_csv", "", ORACLE["kb_append"])
+sql("stored_tags", "crm_tags", "SELECT table_name, column_name, tag_name, tag_value FROM crm_tags")
 _CHANGED_TAGS = "SELECT column_name FROM crm_columns WHERE is_nullable = 'NO' OR data_type = 'BUILDING'"
 _OTHER_TAGS = f"""SELECT table_name, column_name, tag_name, tag_value FROM crm_tags
 WHERE NOT (tag_name = 'has_low_cardinality' AND column_name IN ({_CHANGED_TAGS}))"""
@@ -739,17 +746,23 @@ sql(
     ELSE upper(substr(column_name, 1, 1)) || substr(replace(column_name, '_', ' '), 2) || ' (double, may be empty)' END
   || CASE WHEN {_CLOSED} THEN '. Valid values: ' || {_JOINED} ELSE '' END || '.' AS comment FROM ({_profile()})""",
 )
+_RECORD = """'{"column_name":"' || p.column_name || '","is_nullable":"' || is_nullable || '","data_type":"' || data_type
+  || '","comment":' || coalesce('"' || comment || '"', 'null') || ',"tag_names":[' || coalesce(names, '')
+  || '],"tag_values":[' || coalesce(vals, '') || ']}' AS "user\""""
+_TAG_LISTS = """SELECT table_name, column_name, string_agg('"' || tag_name || '"', ',' ORDER BY tag_name) AS names,
+  string_agg('"' || coalesce(tag_value, '') || '"', ',' ORDER BY tag_name) AS vals FROM crm_tags GROUP BY ALL"""
 sql(
     "build_prompts",
     "crm_columns crm_tags contexts",
-    f"""SELECT p.table_name, p.column_name, coalesce(context, '') AS system,
-  '{{"column_name":"' || p.column_name || '","is_nullable":"' || is_nullable || '","data_type":"' || data_type
-  || '","comment":' || coalesce('"' || comment || '"', 'null') || ',"tag_names":[' || coalesce(names, '')
-  || '],"tag_values":[' || coalesce(vals, '') || ']}}' AS "user"
+    f"""SELECT p.table_name, p.column_name, coalesce(context, '') AS system, {_RECORD}
 FROM ({_PENDING}) p LEFT JOIN contexts ON p.column_name = 'c' || query_id
-LEFT JOIN (SELECT table_name, column_name, string_agg('"' || tag_name || '"', ',' ORDER BY tag_name) AS names,
-  string_agg('"' || coalesce(tag_value, '') || '"', ',' ORDER BY tag_name) AS vals FROM crm_tags GROUP BY ALL) t
-  USING (table_name, column_name)""",
+LEFT JOIN ({_TAG_LISTS}) t USING (table_name, column_name)""",
+)
+sql(
+    "build_description_prompts",
+    "crm_columns crm_tags",
+    f"""SELECT p.table_name, p.column_name, '' AS system, {_RECORD}
+FROM ({_PENDING.replace("has_check", "has_comment")}) p LEFT JOIN ({_TAG_LISTS}) t USING (table_name, column_name)""",
 )
 
 # --- whole runs -----------------------------------------------------------------------------------

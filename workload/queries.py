@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +31,11 @@ from tablegrade.schemas import (
     METRICS,
     TABLE_KEYS,
     TAG_CHECK,
+    TAG_COMMENT,
 )
 from tablegrade.sources.catalog import columns_of
-from tablegrade.sources.knowledge_base import append_knowledge
-from tablegrade.sources.state_files import stored_once
+from tablegrade.sources.knowledge_base import append_knowledge, read_knowledge_base
+from tablegrade.sources.state_files import read_state, shared_folder, stored_once, write_state
 from workload import frames as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +172,15 @@ def drift_report(spark, folder):
 # --- inventory ------------------------------------------------------------------------------------
 
 
+@query
+def column_names(spark, folder):
+    """Full and base names of all columns."""
+    full = X.full_name(*COLUMN_KEYS)
+    return W.crm_columns(spark, folder).select(
+        full.alias("full_name"), X.base_name(full).alias("base_name")
+    )
+
+
 @query
 def list_schemas(spark, folder):
     return I.list_schemas(W.all_schemas(spark, folder), ["models"])
@@ -470,6 +481,23 @@ def kb_append(spark, folder):
     return append_knowledge(rows.where("length(description) < 150"), rows)
 
 
+@query
+def kb_from_csv(spark, folder):
+    """The reference checks written as CSV and read back; their texts hold line breaks and commas."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    rows = W.reference_checks(spark, folder)
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return read_knowledge_base(spark, path)
+
+
+@query
+def stored_tags(spark, folder):
+    """Column tags stored as the state of a run and read by the next one."""
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    write_state(W.crm_tags(spark, folder), root, "column_tags", "1")
+    return flat(read_state(spark, root, "column_tags", "1"))
+
+
 def _tag_changes(spark, folder):
     return (
         W.crm_columns(spark, folder)
@@ -635,6 +663,15 @@ def build_prompts(spark, folder):
     )
 
 
+@query
+def build_description_prompts(spark, folder):
+    """Prompts for the columns without a comment tag; these have no context."""
+    tags = W.crm_tags(spark, folder)
+    pending = R.pending_columns(W.crm_columns(spark, folder), tags, TAG_COMMENT)
+    found = U.build_prompts(I.column_metadata(pending, tags), None, U.DESCRIPTION_PROMPT)
+    return flat(found.withColumn("system", F.substring_index("system", "Context: ", -1)))
+
+
 # --- whole runs -----------------------------------------------------------------------------------
 
 
