@@ -78,25 +78,23 @@ def comparison_day(as_of: datetime | str, window: str | Column) -> Column:
 def version_as_of_day(history: DataFrame, targets: DataFrame) -> DataFrame:
     """Version that was current at each table's ``target``, or its earliest one if all are later.
 
-    ``targets`` holds one row per table with a ``target`` that is a midnight. Commits are first folded
-    to the last and first of each day, map-side, so that even the busiest table joins with no more rows
-    than it has days.
+    ``targets`` holds one row per table with a ``target`` that is a midnight. Later versions never have
+    earlier timestamps, as table formats see to, so the newest is the highest. Commits are first folded
+    to the last and first version of each day, map-side, so that even the busiest table joins with no more
+    rows than it has days; all aggregates are on numbers and stay in hash aggregation.
     """
-    order = F.struct("timestamp", "version")
     midnight = F.date_trunc("day", "timestamp").cast("timestamp_ntz")
     # The first midnight at which a commit is in force; one made exactly then already is.
     in_force = F.when(F.col("timestamp") == midnight, midnight).otherwise(
         midnight + F.expr("interval 1 day")
     )
     days = history.groupBy(*TABLE_KEYS, in_force.alias("day")).agg(
-        F.max_by("version", order).alias("last"), F.min_by("version", order).alias("first")
+        F.max("version").alias("last"), F.min("version").alias("first")
     )
-    known = F.when(F.col("day") <= F.col("target"), F.col("day"))
+    known = F.when(F.col("day") <= F.col("target"), F.col("last"))
     return (
         days.join(targets.select(*TABLE_KEYS, "target"), TABLE_KEYS)
         .groupBy(*TABLE_KEYS, "target")
-        .agg(
-            F.max_by("last", known).alias("current_then"), F.min_by("first", "day").alias("earliest")
-        )
+        .agg(F.max(known).alias("current_then"), F.min("first").alias("earliest"))
         .select(*TABLE_KEYS, "target", F.coalesce("current_then", "earliest").alias("version"))
     )

@@ -92,8 +92,10 @@ def reconcile_check_tags(
     others = tags.where(~check_tag)
     if scope is not None:
         others = others.unionByName(delete(tags.where(check_tag), scope, TABLE_KEYS))
-    marks = checked_columns(in_scope(kept, scope)).withColumn("tag_name", F.lit(TAG_CHECK))
-    return kept, append(others, marks)
+    # Checks are folded to columns before the joins, so that a column with very many costs nothing.
+    checked = in_scope(checked_columns(checks), scope)
+    live = checked.join(columns.select(*COLUMN_KEYS), COLUMN_KEYS, "left_semi")
+    return kept, append(others, live.withColumn("tag_name", F.lit(TAG_CHECK)))
 
 
 def pending_columns(columns: DataFrame, tags: DataFrame, tag_name: str) -> DataFrame:
