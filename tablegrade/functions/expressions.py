@@ -132,19 +132,24 @@ def summarise_column_json(record: Column) -> Column:
     Parallel ``tag_names`` / ``tag_values`` lists are zipped, so both must be filled for a tag
     to be reported.
     """
+    def summary(parsed: Column) -> Column:
+        pairs = F.when(
+            (F.size(parsed["tag_names"]) > 0) & (F.size(parsed["tag_values"]) > 0),
+            F.zip_with(
+                parsed["tag_names"],
+                parsed["tag_values"],
+                lambda name, value: F.struct(name.alias("tag_name"), value.alias("tag_value")),
+            ),
+        )
+        tag = primary_tag(pairs)
+        fields = ("column_name", "is_nullable", "data_type", "comment")
+        found = F.struct(
+            *(parsed[f].alias(f) for f in fields),
+            tag["tag_name"].alias("tag_name"),
+            tag["tag_value"].alias("tag_value"),
+        )
+        return F.when(parsed["column_name"].isNotNull(), found)
+
+    # The one-element array makes the parsed record a variable, so that it is parsed once.
     parsed = F.from_json(record, _COLUMN_JSON, {"mode": "PERMISSIVE"})
-    pairs = F.when(
-        (F.size(parsed["tag_names"]) > 0) & (F.size(parsed["tag_values"]) > 0),
-        F.zip_with(
-            parsed["tag_names"],
-            parsed["tag_values"],
-            lambda name, value: F.struct(name.alias("tag_name"), value.alias("tag_value")),
-        ),
-    )
-    tag = primary_tag(pairs)
-    summary = F.struct(
-        *(parsed[f].alias(f) for f in ("column_name", "is_nullable", "data_type", "comment")),
-        tag["tag_name"].alias("tag_name"),
-        tag["tag_value"].alias("tag_value"),
-    )
-    return F.when(parsed["column_name"].isNotNull(), summary)
+    return F.transform(F.array(parsed), summary)[0]

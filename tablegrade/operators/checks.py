@@ -28,8 +28,8 @@ PASS, FAIL, NOT_EVALUATED = "pass", "fail", "not_evaluated"
 
 MISSING, INVALID = "missing_count", "invalid_count"
 _METRIC = r"^(missing_count|invalid_count)\s*\(\s*([^()]+?)\s*\)\s*(!=|<>|<=|>=|=|<|>)\s*(-?\d{1,18})\s*:?\s*$"
-_VALID_VALUES = r"^\s*valid values:\s*\[(.*)\]\s*$"
-_INVALID_REGEX = r"^\s*invalid regex:\s*(.*?)\s*$"
+_VALID_VALUES = r"\n\s*valid values:[ \t]*\[(.*)\][ \t]*(?:\n|$)"
+_INVALID_REGEX = r"\n\s*invalid regex:[ \t]*(.*?)[ \t]*(?:\n|$)"
 _LIST_ITEM = r""""(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,\s][^,]*"""
 
 # ------------------------------------------------------------------------------------------------
@@ -68,40 +68,44 @@ def parse_checks(checks: DataFrame) -> DataFrame:
     Adds ``check_name`` (its first line), ``metric``, ``argument``, ``comparator``, ``threshold``,
     ``valid_values``, ``invalid_regex`` and ``readable``.
     """
-    lines = F.split("definition", r"\s*\n")
-    first = F.trim(F.element_at(lines, 1))
-    rest = F.slice(lines, 2, F.size(lines))
+    definition = F.col("definition")
+    first = F.regexp_extract(definition, r"^\s*([^\n]*?)\s*:?\s*(?:\n|$)", 1)
 
     def setting(pattern: str) -> Column:
-        given = F.filter(rest, lambda line: line.rlike(pattern))
-        return F.regexp_extract(F.try_element_at(given, F.lit(1)), pattern, 1)
+        return F.when(definition.rlike(pattern), F.regexp_extract(definition, pattern, 1))
 
     def part(group: int) -> Column:
         return F.nullif(F.regexp_extract("check_name", _METRIC, group), F.lit(""))
 
     listed = F.regexp_extract_all(F.col("_list"), F.lit(_LIST_ITEM), F.lit(0))
-    filled_rest = F.size(F.filter(F.col("_rest"), lambda line: line.rlike(r"\S")))
-    one_setting = (filled_rest == 1) & (
+    # Lines below the first that are not blank.
+    settings = F.regexp_count(definition, F.lit(r"\n\s*\S"))
+    one_setting = (settings == 1) & (
         F.col("valid_values").isNotNull() != F.col("invalid_regex").isNotNull()
     )
-    readable = F.when(F.col("metric") == MISSING, filled_rest == 0).when(
+    readable = F.when(F.col("metric") == MISSING, settings == 0).when(
         F.col("metric") == INVALID, one_setting
     )
     return (
         split_checks(checks)
-        .withColumn("check_name", F.regexp_replace(first, r"\s*:$", ""))
-        .withColumn("_rest", rest)
-        .withColumn("_list", setting(_VALID_VALUES))
-        .withColumn("invalid_regex", setting(_INVALID_REGEX))
-        .withColumn("metric", part(1))
-        .withColumn("argument", part(2))
-        .withColumn("comparator", part(3))
-        .withColumn("threshold", part(4).cast("bigint"))
-        .withColumn(
-            "valid_values", F.when(F.col("_list").isNotNull(), F.transform(listed, _unquoted))
+        .withColumns(
+            {
+                "check_name": first,
+                "_list": setting(_VALID_VALUES),
+                "invalid_regex": setting(_INVALID_REGEX),
+            }
+        )
+        .withColumns(
+            {
+                "metric": part(1),
+                "argument": part(2),
+                "comparator": part(3),
+                "threshold": part(4).cast("bigint"),
+                "valid_values": F.when(F.col("_list").isNotNull(), F.transform(listed, _unquoted)),
+            }
         )
         .withColumn("readable", F.coalesce(readable, F.lit(False)))
-        .drop("_list", "_rest")
+        .drop("_list")
     )
 
 

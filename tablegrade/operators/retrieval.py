@@ -94,10 +94,10 @@ def top_k_similar(
     executor, and the queries are then read in place without a shuffle. Beyond that, both sides are cut
     into blocks of bounded size by a hash of their ids; each pair of blocks is one task group.
     """
-    first = documents.select(F.size("vector").alias("width")).head()
-    if first is None:
+    size = documents.agg(F.count("*").alias("count"), F.max(F.size("vector")).alias("width")).head()
+    width, count = size["width"], size["count"]
+    if count == 0:
         return _empty(queries, documents)
-    width, count = first["width"], documents.count()
     kinds = queries.schema["query_id"].dataType.simpleString(), documents.schema["doc_id"].dataType.simpleString()
     schema = _MATCH.format(*kinds)
     if count * width * 8 <= broadcast_bytes:

@@ -251,9 +251,9 @@ def column_json_summary(spark, folder):
     )
     fields = ("data_type", "comment", "tag_name", "tag_value")
     return flat(
-        _column_metadata(spark, folder).select(
-            *COLUMN_KEYS, summary.isNotNull().alias("is_json"), *(summary[f].alias(f) for f in fields)
-        )
+        _column_metadata(spark, folder)
+        .select(*COLUMN_KEYS, summary.alias("summary"))
+        .select(*COLUMN_KEYS, F.expr("summary is not null").alias("is_json"), *(f"summary.{f}" for f in fields))
     )
 
 
