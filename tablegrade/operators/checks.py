@@ -19,6 +19,7 @@ from tablegrade.functions.expressions import clean_check, full_name, is_filled,
 from tablegrade.functions.text import sql_name, sql_text
 from tablegrade.operators.profile import Tables, fold, union_all
 from tablegrade.schemas import TABLE_KEYS
+from tablegrade.sources.local import local_frame
 
 log = logging.getLogger(__name__)
 
@@ -237,7 +238,7 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
             counted.append(_counts(name, table, fields, todo))
     values = union_all(counted)
     if values is None:
-        values = spark.createDataFrame([], _VALUES)
+        values = local_frame(spark, [], _VALUES)
     if len(wanted) <= _BROADCAST_COUNTS:
         # One short row per thing counted, and their number is known here.
         values = F.broadcast(values)

@@ -32,6 +32,7 @@ from tablegrade.schemas import (
     TAG_COMMENT,
     TAG_LOW_CARDINALITY,
 )
+from tablegrade.sources.local import local_frame
 
 #: Monitored data by ``catalog.schema.table`` name.
 Tables = Mapping[str, DataFrame]
@@ -209,9 +210,9 @@ def low_cardinality(
             if c not in kept
         ]
     if settled:
-        exact.append(spark.createDataFrame(settled, _PROFILE))
+        exact.append(local_frame(spark, settled, _PROFILE))
     result = union_all(exact)
-    return result if result is not None else spark.createDataFrame([], _PROFILE)
+    return result if result is not None else local_frame(spark, [], _PROFILE)
 
 
 def _exact_values(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegrade.operators.profile import Tables, name_parts, union_all
+from tablegrade.sources.local import local_frame
 from tablegrade.schemas import (
     COLUMNS,
     PROPERTY_KEYS,
@@ -77,7 +78,7 @@ def columns_of(
         for name, table in tables.items()
         for field in table.schema
     ]
-    return spark.createDataFrame(rows, COLUMNS)
+    return local_frame(spark, rows, COLUMNS)
 
 
 def _for_each(spark: SparkSession, names: Iterable[str], schema: T.StructType, describe) -> DataFrame:
@@ -90,7 +91,7 @@ def _for_each(spark: SparkSession, names: Iterable[str], schema: T.StructType, d
     ]
     union = union_all(frames)
     if union is None:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     return union.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
@@ -139,7 +140,7 @@ def schema_versions_of(spark: SparkSession, versions: Mapping[str, Iterable[int]
         for version in numbers
         for field in spark.sql(f"SELECT * FROM {quoted(name)} VERSION AS OF {int(version)}").schema
     ]
-    return spark.createDataFrame(rows, SCHEMA_VERSIONS)
+    return local_frame(spark, rows, SCHEMA_VERSIONS)
 
 
 def write_comments(spark: SparkSession, comments: DataFrame) -> None:

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegrade.schemas import STATE
+from tablegrade.sources.local import local_frame
 
 
 def state_path(root: str, name: str, run: str) -> str:
@@ -32,7 +33,7 @@ def read_state(spark: SparkSession, root: str, name: str, run: str | None) -> Da
     """A state frame as a run left it; empty when there was no run yet."""
     schema = STATE[name]
     if run is None:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     return spark.read.schema(schema).parquet(state_path(root, name, run))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tablegrade.schemas import COLUMN_KEYS, METRICS, TABLE_KEYS
 from tablegrade.sources.catalog import columns_of
+from tablegrade.sources.local import local_frame
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -429,8 +430,8 @@ DECLARED_CHECKS = [
 
 def declared_checks(spark: SparkSession) -> DataFrame:
     rows = [(i, "lake", "main", t, c, text, None) for i, t, c, text in DECLARED_CHECKS]
-    return spark.createDataFrame(
-        rows,
+    return local_frame(
+        spark, rows,
         "check_id bigint, catalog_name string, schema_name string, table_name string, "
         "column_name string, check string, tag string",
     )
@@ -479,8 +480,8 @@ def main_config(spark: SparkSession) -> DataFrame:
         (i, "lake", "main", t, 10, "10000d" if t == "orders" else "1d", "30d", None)
         for i, t in enumerate(TEST_TABLES, 1)
     ]
-    return spark.createDataFrame(
-        rows,
+    return local_frame(
+        spark, rows,
         "_id bigint, catalog_name string, schema_name string, table_name string, "
         "low_cardinality_threshold int, freshness_window string, validity_window string, tag string",
     )
@@ -491,8 +492,8 @@ def main_tables(spark: SparkSession) -> DataFrame:
         ("lake", "main", t, f"id-{t}", "ops", None if t in ("pages", "labels") else f"The {t} table", None, None)
         for t in TEST_TABLES
     ]
-    return spark.createDataFrame(
-        rows,
+    return local_frame(
+        spark, rows,
         "catalog_name string, schema_name string, table_name string, id string, table_owner string, "
         "description string, created_at timestamp_ntz, last_modified timestamp_ntz",
     )
@@ -506,8 +507,8 @@ def main_properties(spark: SparkSession) -> DataFrame:
         if t == "orders":
             rows.append(("lake", "main", t, "Table Properties", "[delta.deletedFileRetentionDuration=7 days]"))
             rows.append(("lake", "main", t, "Is_managed_location", "true"))
-    return spark.createDataFrame(
-        rows, "catalog_name string, schema_name string, table_name string, key string, value string"
+    return local_frame(
+        spark, rows, "catalog_name string, schema_name string, table_name string, key string, value string"
     )
 
 

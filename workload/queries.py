@@ -34,6 +34,7 @@ from tablegrade.schemas import (
     TAG_COMMENT,
 )
 from tablegrade.sources.catalog import columns_of
+from tablegrade.sources.local import local_frame
 from tablegrade.sources.knowledge_base import append_knowledge, read_knowledge_base
 from tablegrade.sources.state_files import read_state, shared_folder, stored_once, write_state
 from workload import frames as W
@@ -631,7 +632,7 @@ def suggested_check_results(spark, folder):
     """Checks drafted from the data, run on the data: each of them holds."""
     tables = W.checked_tables(spark, folder)
     drafts = U.suggest_checks(P.low_cardinality(spark, tables), P.column_counts(tables))
-    stored = stored_once(K.upsert_checks(spark.createDataFrame([], COLUMN_CHECKS), drafts))
+    stored = stored_once(K.upsert_checks(local_frame(spark, [], COLUMN_CHECKS), drafts))
     return flat(
         C.evaluate_checks(spark, stored, tables).select(
             *COLUMN_KEYS, F.col("item").cast("bigint").alias("item"), "metric", "value", "outcome"
@@ -691,7 +692,7 @@ def scoreboard(spark, folder):
     """Score and band of all test tables, with checks run on their data."""
     state = stages.ColumnState(
         W.main_columns(spark, folder),
-        spark.createDataFrame([], COLUMN_TAGS),
+        local_frame(spark, [], COLUMN_TAGS),
         W.declared_checks(spark),
     )
     summary = stages.grade(
@@ -700,7 +701,7 @@ def scoreboard(spark, folder):
         W.main_config(spark),
         _facts(spark, folder),
         state,
-        spark.createDataFrame([], DQ_SUMMARY),
+        local_frame(spark, [], DQ_SUMMARY),
         W.AS_OF,
     )
     return flat(S.score_tables(summary))
@@ -713,7 +714,7 @@ def scoreboard_after_enrichment(spark, folder):
     config = W.main_config(spark)
     state = stages.ColumnState(
         columns_of(spark, tables),
-        spark.createDataFrame([], COLUMN_TAGS),
+        local_frame(spark, [], COLUMN_TAGS),
         W.declared_checks(spark),
     )
     state, profile = stages.enrich(spark, tables, config, state)
@@ -724,7 +725,7 @@ def scoreboard_after_enrichment(spark, folder):
         config,
         _facts(spark, folder),
         state,
-        spark.createDataFrame([], DQ_SUMMARY),
+        local_frame(spark, [], DQ_SUMMARY),
         W.AS_OF,
     )
     return flat(S.score_tables(summary))
