@@ -14,10 +14,6 @@ from tablegrade.session import build_session
 from workload.queries import QUERIES
 
 HEADLINE = [
-    "low_cardinality",
-    "column_counts",
-    "check_results",
-    "suggest_checks",
     "freshness",
     "asof_version",
     "schema_drift",
@@ -32,6 +28,10 @@ HEADLINE = [
     "render_checks",
     "similar_topk",
     "retrieval_context",
+    "low_cardinality",
+    "column_counts",
+    "check_results",
+    "suggest_checks",
     "scoreboard",
     "scoreboard_after_enrichment",
 ]

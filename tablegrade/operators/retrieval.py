@@ -199,6 +199,7 @@ def format_context(documents: DataFrame) -> DataFrame:
 
     At most ``k`` documents per query. An unknown syntax reads ``None``.
     """
+    # The labels and line breaks of a block.
     block = F.concat(
         F.lit("+check_syntax: \n "),
         F.coalesce("check_syntax", F.lit("None")),

@@ -58,7 +58,7 @@ def stored_once(frame: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back, so that it is computed once.
 
     Unlike cached data it outlives the executors that made it; unlike a checkpoint the last stage runs
-    once, and readers can skip columns.
+    once, and readers can skip columns. The files stay until the folder is cleaned.
     """
     path = f"{shared_folder(frame.sparkSession)}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
