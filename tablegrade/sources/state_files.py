@@ -7,7 +7,6 @@ lineage between the stages of a run.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +39,13 @@ def read_state(spark: SparkSession, root: str, name: str, run: str | None) -> Da
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a temporary folder; on a cluster that would not be seen by
-    the other machines.
+    Where that is unset, a folder below the warehouse is set, which all machines see as well.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
