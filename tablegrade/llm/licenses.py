@@ -18,7 +18,7 @@ from tablegrade.llm.common import col, content_key, for_all, table
 #: Words of a hashed run, and how many words apart diagonals may be to be merged.
 RUN, APART = 2, 3
 #: A span of the method's templates counts if at least this share of the template's runs stands in it.
-LEAST = 0.6
+LEAST = 0.8
 
 #: Phrases that count wherever their words stand consecutively.
 PHRASES = (
