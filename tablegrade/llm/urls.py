@@ -27,7 +27,7 @@ RULES = (
 )
 
 #: Host labels whose pages the query lists.
-LISTED_LABELS = ("cheap-pills", "spam-farm")
+LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
