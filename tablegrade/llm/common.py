@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, megabytes: int = 8) -> None:
+def small_batches(spark: SparkSession, megabytes: int = 4) -> None:
     """Bound what a Python worker holds at a time: batches are cut by bytes, not only by rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

@@ -79,19 +79,30 @@ def item_bags(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return rows.filter("words > 0")
 
 
+def least_run(n: int) -> int:
+    """How many neighbouring shingles, at least, are all items' in a similar window of ``n``."""
+    hits = math.ceil(SIMILAR * n - 1e-9)
+    return -(-hits // (n - hits + 1))
+
+
 class Index:
     """What every task knows of the benchmark: the lengths of items, and a table of the weights of shingles by hash."""
 
     def __init__(self, lengths: list[int], places: np.ndarray, steps: np.ndarray, size: int, items: int):
         self.lengths, self.items = lengths, items
         self.top = math.log(1 + items)
+        self.runs: dict[int, int] = {}  # by the length of shingles
+        for words in lengths:
+            k = min(SHINGLE, words)
+            self.runs[k] = min(self.runs.get(k, words), least_run(words - k + 1))
         self.table = np.zeros(size, np.uint8)
+        self.mask = np.uint64(size - 1)
         np.maximum.at(self.table, places, steps)
 
-    def weights(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which shingles may be an item's, and the weight of every one."""
-        step = self.table[(shingles & np.uint64(len(self.table) - 1)).astype(np.int64)]
-        return step > 0, np.where(step > 0, step * (self.top / STEPS), self.top)
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """The weight of every shingle."""
+        step = self.table[(shingles & self.mask).astype(np.int64)]
+        return np.where(step > 0, step * (self.top / STEPS), self.top)
 
     def windows(self, text: str | None) -> list[tuple[int, int, int, np.ndarray]]:
         """``start``, ``words``, fingerprint and shingles of every window that can be similar to an item."""
@@ -103,11 +114,15 @@ class Index:
             k = min(SHINGLE, words)
             if k not in by_length:
                 shingles = runs(hashes, k)
-                hit, weight = self.weights(shingles)
-                by_length[k] = [shingles, hit, weight, np.concatenate(([0], np.cumsum(hit))), None]
-            shingles, hit, weight, hits, sums = by_length[k]
+                hit = self.table[(shingles & self.mask).astype(np.int64)] > 0
+                run = hit
+                for i in range(1, self.runs[k]):
+                    run = run[:-1] & hit[i:]
+                hits = np.concatenate(([0], np.cumsum(hit))) if run.any() else None
+                by_length[k] = shingles, hits, None if hits is None else self.weights(shingles)
+            shingles, hits, weight = by_length[k]
             n = words - k + 1
-            if hits[-1] < SIMILAR * n:
+            if hits is None or hits[-1] < SIMILAR * n:
                 continue
             at = np.flatnonzero(hits[n:] - hits[:-n] >= SIMILAR * n - 1e-9)
             if not len(at):
@@ -146,7 +161,7 @@ def index_of(bags: DataFrame) -> Index:
 
 
 def entered(bags: DataFrame, index: Index) -> DataFrame:
-    """``block``, ``value``, ``item``, ``item_print``: every item under all values close to its blocks."""
+    """``place``, ``item``, ``item_print``: every item under all values close to its blocks; a place is a block and a value."""
     width = BITS // BLOCKS
     flips = near_values(width, RADIUS // BLOCKS)
 
@@ -154,17 +169,16 @@ def entered(bags: DataFrame, index: Index) -> DataFrame:
         for frame in frames:
             for item, shingles in zip(frame["item"], frame["shingles"], strict=True):
                 hashes = np.array(shingles, np.int64).view(np.uint64)
-                sums = (bits_of(hashes) * index.weights(hashes)[1][:, None]).sum(axis=0, keepdims=True)
+                sums = (bits_of(hashes) * index.weights(hashes)[:, None]).sum(axis=0, keepdims=True)
                 own = fingerprints(sums)[0]
                 parts = [(int(own) >> (width * i)) & ((1 << width) - 1) for i in range(BLOCKS)]
                 yield pd.DataFrame({
-                    "block": np.repeat(np.arange(BLOCKS, dtype=np.int32), len(flips)),
-                    "value": np.concatenate([flips ^ part for part in parts]).astype(np.int32),
+                    "place": np.concatenate([(flips ^ part) | (i << width) for i, part in enumerate(parts)]),
                     "item": item,
                     "item_print": own,
                 })
 
-    return bags.select("item", "shingles").mapInPandas(spread, "block int, value int, item long, item_print long")
+    return bags.select("item", "shingles").mapInPandas(spread, "place long, item long, item_print long")
 
 
 def contaminated(
@@ -201,16 +215,16 @@ def contaminated(
     text = col(text_column)
     cut = docs.select(*content_key(col(id_column), text), F.explode(windows(text)).alias("w")).select("key_id", "key_text", "w.*")
     width = BITS // BLOCKS
-    part = lambda i: F.shiftrightunsigned("print", width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long")).cast("int")
-    parts = F.array(*[F.struct(F.lit(i).alias("block"), part(i).alias("value")) for i in range(BLOCKS)])
-    blocks = cut.withColumn("b", F.explode(parts)).select("*", "b.block", "b.value").drop("b")
+    part = lambda value, i: F.shiftrightunsigned(value, width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    places = F.array(*[part(F.col("print"), i) + F.lit(i << width).cast("long") for i in range(BLOCKS)])
+    blocks = cut.select("*", F.explode(places).alias("place"))
     entries = stored_once(entered(unique, index))
-    near = blocks.join(for_all(entries, 32), ["block", "value"])
-    differ = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    near = blocks.join(for_all(entries, 32), "place")
+    differ = F.col("print").bitwiseXOR(F.col("item_print"))
     # A pair meets in several blocks; it goes on from the first in which it is close.
-    close = [F.bit_count(F.shiftrightunsigned(F.col("print").bitwiseXOR(F.col("item_print")), width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long"))) <= RADIUS // BLOCKS for i in range(BLOCKS)]
-    first = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(close)])
-    near = near.filter((differ <= RADIUS) & (first == F.col("block"))).drop("block", "value", "print", "item_print")
+    close = [F.when(F.bit_count(part(differ, i)) <= RADIUS // BLOCKS, F.lit(i)) for i in range(BLOCKS)]
+    first = F.coalesce(*close) == F.shiftright("place", width)
+    near = near.filter((F.bit_count(differ) <= RADIUS) & first).drop("place", "print", "item_print")
     facts = unique.join(
         unique.select("item", F.explode("shingles").alias("s")).join(_spread(unique), "s").groupBy("item").agg(F.map_from_entries(F.collect_set(F.struct("s", "weight"))).alias("by")),
         "item",

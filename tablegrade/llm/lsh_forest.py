@@ -39,7 +39,7 @@ _WORDS: dict[str, int] = {}
 
 def word_hashes(words: list[str]) -> np.ndarray:
     """A 64-bit hash per word."""
-    if len(_WORDS) > 500_000:
+    if len(_WORDS) > 200_000:
         _WORDS.clear()
     for word in set(words).difference(_WORDS):
         _WORDS[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))

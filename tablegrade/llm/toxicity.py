@@ -36,7 +36,7 @@ CALIBRATION_SAMPLE = 20_000
 #: A segment counts if fewer than this many as good are expected in a clean text of the same length.
 EXPECTED = 0.3
 THRESHOLD = 0.3
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 300_000
 
 
 def once(words: list[str], scores: np.ndarray) -> np.ndarray:
