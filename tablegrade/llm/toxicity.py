@@ -198,8 +198,8 @@ def learn(training: DataFrame, sample: int = CALIBRATION_SAMPLE) -> Toxicity:
         yield pd.DataFrame({"place": at, "clean": total[0, at], "toxic": total[1, at]})
         yield pd.DataFrame({"place": [-1, -2], "clean": docs[0, :2], "toxic": docs[1, :2]})
 
-    sums = rows.mapInPandas(counted, "place long, clean long, toxic long").groupBy("place").agg(F.sum("clean"), F.sum("toxic"))
-    table_ = np.array([tuple(r) for r in sums.collect()], np.int64).reshape(-1, 3)
+    sums = rows.mapInPandas(counted, "place long, clean long, toxic long").groupBy("place")
+    table_ = sums.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas().to_numpy(np.int64).reshape(-1, 3)
     by_place = {int(r[0]): r for r in table_[table_[:, 0] < 0]} if len(table_) else {}
     good, bad = (by_place[-1][1], by_place[-1][2]) if by_place else (0, 0)
     clean, toxic = np.zeros(PLACES, np.float32), np.zeros(PLACES, np.float32)
@@ -218,6 +218,7 @@ def calibrated(model: Toxicity, rows: DataFrame, fraction: float) -> Toxicity:
 
     def looked_at(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: tuple[dict, dict] = ({}, {})
+        histogram = np.zeros(len(edges) + 1, np.int64)
         for frame in frames:
             out = []
             for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
@@ -227,21 +228,21 @@ def calibrated(model: Toxicity, rows: DataFrame, fraction: float) -> Toxicity:
                 for word in set(words).difference(own):
                     own[word] = model.odds(word, (toxic, 1 - toxic))
                 scores = once(words, np.fromiter(map(own.__getitem__, words), np.float64, len(words)))
-                histogram = np.bincount(np.searchsorted(edges, scores), minlength=len(edges) + 1) if not toxic else None
-                found = sorted((s for _, _, s in segments(scores)), reverse=True)
-                out.append((toxic, len(words), found, None if histogram is None else histogram.tolist()))
-            yield pd.DataFrame(out, columns=["toxic", "length", "found", "histogram"])
-
-    schema = "toxic int, length long, found array<double>, histogram array<long>"
-    seen = chosen.mapInPandas(looked_at, schema)
-    spread = F.transform("histogram", lambda n, i: F.struct(i.alias("i"), n.alias("n")))
-    # The sample is bounded, so its figures and segment scores may be collected.
-    rows_ = seen.select("toxic", "length", F.array_sort(F.filter("found", lambda s: s > 0)).alias("found"), spread.alias("spread")).collect()
+                if not toxic:
+                    histogram += np.bincount(np.searchsorted(edges, scores), minlength=len(edges) + 1)
+                out.append((toxic, len(words), [s for _, _, s in segments(scores)], -1, 0))
+            yield pd.DataFrame(out, columns=["toxic", "length", "found", "bin", "n"])
+        at = np.flatnonzero(histogram)
+        yield pd.DataFrame({"toxic": 0, "length": 0, "found": pd.Series([[] for _ in at], dtype=object), "bin": at, "n": histogram[at]})
+
+    # The sample is bounded, so the segment scores of its documents may be collected.
+    seen = stored_once(chosen.mapInPandas(looked_at, "toxic int, length long, found array<double>, bin int, n long"))
+    rows_ = seen.filter("bin < 0").select("toxic", "length", "found").toPandas().to_dict("records")
+    bins = seen.filter("bin >= 0").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     clean = [r for r in rows_ if not r["toxic"] and r["length"]]
     if clean:
         counts = np.zeros(len(edges) + 1)
-        for r in clean:
-            counts[[x["i"] for x in r["spread"]]] += [x["n"] for x in r["spread"]]
+        counts[bins["bin"].to_numpy(np.int64)] = bins["n"]
         middles = np.concatenate((edges[:1], (edges[:-1] + edges[1:]) / 2, edges[-1:]))
         model.scale = _solved(middles[counts > 0], counts[counts > 0])
         best = np.array([max(r["found"], default=0.0) for r in clean])
