@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,32 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def content_key(doc_id: Column, text: Column) -> list[Column]:
     """Columns ``key_id`` and ``key_text``, equal for rows with the same id and text. Compare them null-safely."""
     return [doc_id.alias("key_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key_text")]
+
+
+@cache
+def _word_letters() -> np.ndarray:
+    """Which code points are parts of words, as in ``WORD``."""
+    return np.fromiter((chr(i).isalnum() or i == 95 for i in range(0x110000)), bool, 0x110000)
+
+
+@cache
+def _powers() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64))
+
+
+def hashed_words(text: str | None) -> np.ndarray:
+    """A 64-bit hash of every word of the lower-cased text, in order."""
+    letters = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = _word_letters()[letters]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    if not len(edges):
+        return np.empty(0, np.uint64)
+    lengths = edges[1::2] - edges[::2]
+    first = np.cumsum(lengths) - lengths
+    places = np.arange(lengths.sum()) - np.repeat(first, lengths)
+    with np.errstate(over="ignore"):
+        out = np.add.reduceat((letters[inside].astype(np.uint64) + np.uint64(1)) * _powers()[places & 4095], first)
+        for shift in (32, 29):
+            out = (out ^ (out >> np.uint64(shift)) ^ lengths.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return out ^ (out >> np.uint64(32))

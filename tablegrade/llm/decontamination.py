@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash windows found by multi-index Hamming blocks, verified by weighted shingles.
 
-Documents are cut into windows of as many words as benchmark items have, at every word. A window and an item are bags of five-word
-shingles, weighted by how rare a shingle is among items; their similarity is the weighted Jaccard index. A window's SimHash
+Documents are cut into windows of as many words as benchmark items have, at every word; a window is compared with items of its
+size. A window and an item are bags of five-word shingles, weighted by how rare a shingle is among items; their similarity is the weighted Jaccard index. A window's SimHash
 fingerprint has 64 bits in ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
 ``RADIUS // BLOCKS``; so items are entered under all values that close to their blocks, and every pair within the radius meets in a
 join on block and value. Pairs within the radius are then verified.
@@ -21,8 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegrade.llm.common import WORD, col, content_key, for_all, small_batches, table
-from tablegrade.llm.lsh_forest import runs, word_hashes
+from tablegrade.llm.common import col, content_key, for_all, hashed_words, small_batches, table
+from tablegrade.llm.lsh_forest import runs
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -33,13 +33,8 @@ LEAST_TABLE, LARGEST_TABLE = 1 << 16, 1 << 24
 STEPS = 254
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
-
-
-def bag(words: list[str], length: int = SHINGLE) -> np.ndarray:
-    """Hashes of the shingles of a passage in order; a shorter passage is one shingle."""
-    hashes = word_hashes(words)
+def bag(hashes: np.ndarray, length: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles of a passage of hashed words in order; a shorter passage is one shingle."""
     return runs(hashes, min(length, len(hashes))) if len(hashes) else np.empty(0, np.uint64)
 
 
@@ -72,7 +67,7 @@ def item_bags(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     @F.pandas_udf("words int, shingles array<long>")
     def found(texts: pd.Series) -> pd.DataFrame:
-        words = [words_of(text) for text in texts]
+        words = [hashed_words(text) for text in texts]
         return pd.DataFrame({"words": [len(w) for w in words], "shingles": [bag(w).view(np.int64) for w in words]})
 
     rows = items.select(col(id_column).alias("item_id"), found(col(text_column)).alias("b")).select("item_id", "b.*")
@@ -104,45 +99,48 @@ class Index:
         step = self.table[(shingles & self.mask).astype(np.int64)]
         return np.where(step > 0, step * (self.top / STEPS), self.top)
 
-    def windows(self, text: str | None) -> list[tuple[int, int, int, np.ndarray]]:
-        """``start``, ``words``, fingerprint and shingles of every window that can be similar to an item."""
-        hashes = word_hashes(words_of(text))
-        found, by_length = [], {}
-        for words in self.lengths:
-            if words > len(hashes):
-                break
-            k = min(SHINGLE, words)
-            if k not in by_length:
-                shingles = runs(hashes, k)
-                hit = self.table[(shingles & self.mask).astype(np.int64)] > 0
-                run = hit
-                for i in range(1, self.runs[k]):
-                    run = run[:-1] & hit[i:]
-                hits = np.concatenate(([0], np.cumsum(hit))) if run.any() else None
-                by_length[k] = shingles, hits, None if hits is None else self.weights(shingles)
-            shingles, hits, weight = by_length[k]
-            n = words - k + 1
-            if hits is None or hits[-1] < SIMILAR * n:
+    def windows(self, text: str | None) -> list[tuple[int, np.ndarray, list[tuple[np.ndarray, int, np.ndarray]]]]:
+        """Stretches of the text that may hold items: ``start``, shingles, and their windows (places in the stretch, words,
+        fingerprints), one entry per length of windows."""
+        hashes = hashed_words(text)
+        out = []
+        for k, least in self.runs.items():
+            shingles = runs(hashes, k)
+            hit = self.table[(shingles & self.mask).astype(np.int64)] > 0
+            run = hit
+            for i in range(1, least):
+                run = run[:-1] & hit[i:]
+            if not run.any():
                 continue
-            at = np.flatnonzero(hits[n:] - hits[:-n] >= SIMILAR * n - 1e-9)
-            if not len(at):
+            hits = np.concatenate(([0], np.cumsum(hit)))
+            found = {}
+            for words in self.lengths:
+                n = words - k + 1
+                if min(SHINGLE, words) == k and n <= len(shingles) and hits[-1] >= SIMILAR * n:
+                    at = np.flatnonzero(hits[n:] - hits[:-n] >= SIMILAR * n - 1e-9)
+                    if len(at):
+                        found[words] = at
+            if not found:
                 continue
-            for first, last in _stretches(at, n):
-                part = bits_of(shingles[first:last]) * weight[first:last, None]
-                sums = np.concatenate((np.zeros((1, BITS)), np.cumsum(part, axis=0)))
-                own = at[(at >= first) & (at + n <= last)]
-                prints = fingerprints(sums[own + n - first] - sums[own - first])
-                found.extend((int(i), words, int(p), shingles[i : i + n].view(np.int64)) for i, p in zip(own, prints, strict=True))
-        return found
-
-
-def _stretches(at: np.ndarray, n: int, most: int = 4096) -> Iterator[tuple[int, int]]:
-    """Stretches of shingles that hold the windows of ``n`` shingles that start at ``at``, of bounded length."""
-    start = 0
-    for i in range(1, len(at) + 1):
-        if i == len(at) or at[i] > at[i - 1] + n or at[i] - at[start] >= most:
-            yield int(at[start]), int(at[i - 1]) + n
-            start = i
+            ends = np.concatenate([np.column_stack((at, at + words - k + 1)) for words, at in found.items()])
+            for first, last in _stretches(ends[np.argsort(ends[:, 0], kind="stable")]):
+                part = shingles[first:last]
+                sums = np.concatenate((np.zeros((1, BITS)), np.cumsum(bits_of(part) * self.weights(part)[:, None], axis=0)))
+                cut = []
+                for words, at in found.items():
+                    own = at[(at >= first) & (at < last)] - first
+                    if len(own):
+                        cut.append((own, words, fingerprints(sums[own + words - k + 1] - sums[own])))
+                out.append((first, part, cut))
+        return out
+
+
+def _stretches(windows: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The stretches that windows (start, end; by start) cover without a gap."""
+    reach = np.maximum.accumulate(windows[:, 1])
+    gaps = np.flatnonzero(windows[1:, 0] > reach[:-1]) + 1
+    for rows in np.split(np.arange(len(windows)), gaps):
+        yield int(windows[rows[0], 0]), int(reach[rows[-1]])
 
 
 def index_of(bags: DataFrame) -> Index:
@@ -161,24 +159,25 @@ def index_of(bags: DataFrame) -> Index:
 
 
 def entered(bags: DataFrame, index: Index) -> DataFrame:
-    """``place``, ``item``, ``item_print``: every item under all values close to its blocks; a place is a block and a value."""
+    """``place``, ``item``, ``item_print``: every item under all values close to its blocks; a place is the item's number of words, a
+    block and a value."""
     width = BITS // BLOCKS
     flips = near_values(width, RADIUS // BLOCKS)
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for item, shingles in zip(frame["item"], frame["shingles"], strict=True):
+            for item, words, shingles in zip(frame["item"], frame["words"], frame["shingles"], strict=True):
                 hashes = np.array(shingles, np.int64).view(np.uint64)
                 sums = (bits_of(hashes) * index.weights(hashes)[:, None]).sum(axis=0, keepdims=True)
                 own = fingerprints(sums)[0]
                 parts = [(int(own) >> (width * i)) & ((1 << width) - 1) for i in range(BLOCKS)]
                 yield pd.DataFrame({
-                    "place": np.concatenate([(flips ^ part) | (i << width) for i, part in enumerate(parts)]),
+                    "place": np.concatenate([(flips ^ part) | ((int(words) * BLOCKS + i) << width) for i, part in enumerate(parts)]),
                     "item": item,
                     "item_print": own,
                 })
 
-    return bags.select("item", "shingles").mapInPandas(spread, "place long, item long, item_print long")
+    return bags.select("item", "words", "shingles").mapInPandas(spread, "place long, item long, item_print long")
 
 
 def contaminated(
@@ -206,25 +205,38 @@ def contaminated(
     shared = spark.sparkContext.broadcast(index)
     top = index.top
 
-    @F.pandas_udf("array<struct<start: int, words: int, print: long, shingles: array<long>>>")
+    stretch = "struct<start: int, shingles: array<long>, windows: array<struct<at: int, words: int, print: long>>>"
+
+    @F.pandas_udf(f"array<{stretch}>")
     def windows(texts: pd.Series) -> pd.Series:
-        return pd.Series([
-            [dict(zip(("start", "words", "print", "shingles"), w, strict=True)) for w in shared.value.windows(text)] for text in texts
-        ])
+        found = []
+        for text in texts:
+            stretches = []
+            for start, shingles, cut in shared.value.windows(text):
+                rows = [{"at": a, "words": words, "print": p} for own, words, prints in cut for a, p in zip(own.tolist(), prints.tolist(), strict=True)]
+                stretches.append({"start": start, "shingles": shingles.view(np.int64), "windows": rows})
+            found.append(stretches)
+        return pd.Series(found)
 
     text = col(text_column)
-    cut = docs.select(*content_key(col(id_column), text), F.explode(windows(text)).alias("w")).select("key_id", "key_text", "w.*")
+    held = docs.select(*content_key(col(id_column), text), F.explode(windows(text)).alias("s"))
+    cut = held.select("key_id", "key_text", F.col("s.start").alias("start"), F.col("s.shingles").alias("shingles"), F.explode("s.windows").alias("w"))
+    cut = cut.select("key_id", "key_text", "start", "shingles", "w.*")
     width = BITS // BLOCKS
     part = lambda value, i: F.shiftrightunsigned(value, width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-    places = F.array(*[part(F.col("print"), i) + F.lit(i << width).cast("long") for i in range(BLOCKS)])
+    places = F.array(*[part(F.col("print"), i) + ((F.col("words").cast("long") * BLOCKS + i) * (1 << width)) for i in range(BLOCKS)])
     blocks = cut.select("*", F.explode(places).alias("place"))
     entries = stored_once(entered(unique, index))
     near = blocks.join(for_all(entries, 32), "place")
     differ = F.col("print").bitwiseXOR(F.col("item_print"))
     # A pair meets in several blocks; it goes on from the first in which it is close.
     close = [F.when(F.bit_count(part(differ, i)) <= RADIUS // BLOCKS, F.lit(i)) for i in range(BLOCKS)]
-    first = F.coalesce(*close) == F.shiftright("place", width)
-    near = near.filter((F.bit_count(differ) <= RADIUS) & first).drop("place", "print", "item_print")
+    first = F.coalesce(*close) == F.shiftright("place", width) % BLOCKS
+    size = F.greatest(F.col("words") - SHINGLE + 1, F.lit(1))
+    near = near.filter((F.bit_count(differ) <= RADIUS) & first).select(
+        "key_id", "key_text", "item", (F.col("start") + F.col("at")).alias("start"), "words",
+        F.slice("shingles", F.col("at") + 1, size).alias("shingles"),
+    )
     facts = unique.join(
         unique.select("item", F.explode("shingles").alias("s")).join(_spread(unique), "s").groupBy("item").agg(F.map_from_entries(F.collect_set(F.struct("s", "weight"))).alias("by")),
         "item",

@@ -19,11 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegrade.llm.common import WORD, col, content_key, for_all, small_batches, table
+from tablegrade.llm.common import col, content_key, for_all, hashed_words, small_batches, table
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -34,16 +33,6 @@ BLOCK = 256
 
 _MASK = (1 << 64) - 1
 _MIX = 0x9E3779B97F4A7C15
-_WORDS: dict[str, int] = {}
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    """A 64-bit hash per word."""
-    if len(_WORDS) > 200_000:
-        _WORDS.clear()
-    for word in set(words).difference(_WORDS):
-        _WORDS[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
 def runs(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -61,7 +50,7 @@ def runs(hashes: np.ndarray, length: int) -> np.ndarray:
 
 def shingles(text: str | None) -> np.ndarray:
     """The sorted set of hashed shingles. A text with fewer words than a shingle is one shingle; one without words has none."""
-    hashes = word_hashes(WORD.findall((text or "").lower()))
+    hashes = hashed_words(text)
     return np.unique(runs(hashes, min(SHINGLE, len(hashes)))) if len(hashes) else np.empty(0, np.uint64)
 
 
