@@ -94,8 +94,8 @@ def thresholds_of(config: DataFrame, tables: Tables) -> dict[str, int]:
         .where(F.col("name").isin(list(tables)))
         .collect()
     )
-    given = {row["name"]: row["low_cardinality_threshold"] for row in rows}
-    return {name: given.get(name) or DEFAULT_THRESHOLD for name in tables}
+    given = {row["name"]: row["low_cardinality_threshold"] for row in rows if row["low_cardinality_threshold"] is not None}
+    return {name: given.get(name, DEFAULT_THRESHOLD) for name in tables}
 
 
 def enrich(
