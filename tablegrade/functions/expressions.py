@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,9 +24,15 @@ def base_name(name: str | Column) -> Column:
 
 
 def instant(moment: datetime | str | Column) -> Column:
-    """A zone-free timestamp column from a datetime, a text or a column."""
+    """A zone-free timestamp column from a datetime, a text or a column; a moment with a zone becomes UTC."""
     if isinstance(moment, Column):
         return moment.cast("timestamp_ntz")
+    try:
+        given = datetime.fromisoformat(str(moment))
+    except ValueError:
+        given = None
+    if given is not None and given.tzinfo is not None:
+        moment = given.astimezone(timezone.utc).replace(tzinfo=None)
     return F.lit(str(moment)).cast("timestamp_ntz")
 
 

@@ -8,6 +8,7 @@ text is kept and reported as ``not_evaluated``, which does not pass.
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import Window as W
 
 from tablegrade.functions.expressions import clean_check, full_name, is_filled, stripped
 from tablegrade.functions.text import sql_name, sql_text
-from tablegrade.operators.profile import Tables, fold, union_all
+from tablegrade.operators.profile import Tables, as_text, fold, union_all
 from tablegrade.schemas import TABLE_KEYS
 from tablegrade.sources.local import local_frame
 
@@ -28,10 +29,14 @@ PASS, FAIL, NOT_EVALUATED = "pass", "fail", "not_evaluated"
 # --- fixed values -------------------------------------------------------------------------------
 
 MISSING, INVALID = "missing_count", "invalid_count"
-_METRIC = r"^(missing_count|invalid_count)\s*\(\s*([^()]+?)\s*\)\s*(!=|<>|<=|>=|=|<|>)\s*(-?\d{1,18})\s*:?\s*$"
-_VALID_VALUES = r"\n\s*valid values:[ \t]*\[(.*)\][ \t]*(?:\n|$)"
-_INVALID_REGEX = r"\n\s*invalid regex:[ \t]*(.*?)[ \t]*(?:\n|$)"
-_LIST_ITEM = r""""(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,\s][^,]*"""
+_METRIC = (
+    r"^(missing_count|invalid_count)\s*\(\s*(`(?:[^`]|``)+`|[^()`]+?)\s*\)"
+    r"\s*(!=|<>|<=|>=|=|<|>)\s*(-?\d{1,18})\s*:?\s*$"
+)
+# Lines end at a newline alone; other line separators may stand in a value.
+_VALID_VALUES = r"\n\s*valid values:[ \t]*\[([^\n]*)\][ \t]*(?:\n|\z)"
+_INVALID_REGEX = r"\n\s*invalid regex:[ \t]*([^\n]*?)[ \t]*(?:\n|\z)"
+_LIST_ITEM = r""""(?:[^"\\]|\\[^\n])*"|'(?:[^']|'')*'|[^,\s][^,]*"""
 
 # ------------------------------------------------------------------------------------------------
 
@@ -53,7 +58,7 @@ def _unquoted(item: Column) -> Column:
     inner = item.substr(F.lit(2), F.length(item) - 2)
     # A newline is written as backslash-n; a backslash before anything else only escapes it.
     broken = F.regexp_replace(inner, r"(?<!\\)((?:\\\\)*)\\n", "$1\n")
-    double = F.regexp_replace(broken, r"\\(.)", "$1")
+    double = F.regexp_replace(broken, r"(?s)\\(.)", "$1")
     single = F.replace(inner, F.lit("''"), F.lit("'"))
     long_enough = F.length(item) > 1
     return (
@@ -78,6 +83,8 @@ def parse_checks(checks: DataFrame) -> DataFrame:
     def part(group: int) -> Column:
         return F.nullif(F.regexp_extract("check_name", _METRIC, group), F.lit(""))
 
+    quoted = F.regexp_extract(part(2), r"(?s)^`(.+)`$", 1)
+    argument = F.when(part(2).startswith("`"), F.replace(quoted, F.lit("``"), F.lit("`"))).otherwise(part(2))
     listed = F.regexp_extract_all(F.col("_list"), F.lit(_LIST_ITEM), F.lit(0))
     # Lines below the first that are not blank.
     settings = F.regexp_count(definition, F.lit(r"\n\s*\S"))
@@ -99,7 +106,7 @@ def parse_checks(checks: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "metric": part(1),
-                "argument": part(2),
+                "argument": argument,
                 "comparator": part(3),
                 "threshold": part(4).cast("bigint"),
                 "valid_values": F.when(F.col("_list").isNotNull(), F.transform(listed, _unquoted)),
@@ -129,9 +136,11 @@ def render_checks(checks: DataFrame, per_document: int = 1_000) -> DataFrame:
     A table with more than ``per_document`` checks gets several documents, numbered by ``part``, each
     complete with its header and holding a run of ids. Runs are formed from counts per id range, which
     are folded before they are shuffled; the checks themselves are only ever grouped by range, so no
-    group holds more than twice ``per_document``. Tables without a filled check get no document.
+    group of different ids holds more than ``per_document`` stored texts. Checks without an id come
+    first, in runs by a hash of their text. Tables without a filled check get no document.
     """
-    ranges = F.floor(F.col("check_id") / F.lit(per_document)).cast("bigint")
+    by_text = -1 - F.pmod(F.xxhash64("column_name", "check"), F.lit(1_000))
+    ranges = F.coalesce(F.floor(F.col("check_id") / F.lit(per_document)), by_text).cast("bigint")
     items = split_checks(checks).select(
         *TABLE_KEYS, "check_id", "item", "definition", ranges.alias("range")
     )
@@ -159,9 +168,6 @@ def render_checks(checks: DataFrame, per_document: int = 1_000) -> DataFrame:
 
 # --- evaluation ---------------------------------------------------------------------------------
 
-#: Most counts that are sent to all executors rather than shuffled to the checks.
-_BROADCAST_COUNTS = 50_000
-
 _SIGNATURE = ["metric", "argument", "valid_values", "invalid_regex"]
 _VALUES = T.StructType(
     [T.StructField(k, T.StringType()) for k in [*TABLE_KEYS, "signature"]]
@@ -192,7 +198,8 @@ def _known_patterns(spark: SparkSession, patterns: Iterable[str]) -> set[str]:
 def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: str | None) -> str:
     """SQL for the number of rows a check objects to.
 
-    Listed values are compared in the column's own type; one that does not fit it matches nothing.
+    Listed values are compared in the column's own type, nested ones as JSON; one that does not fit
+    it matches nothing.
     """
     column = sql_name(field.name)
     if metric == MISSING:
@@ -204,7 +211,8 @@ def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: st
     plain = isinstance(field.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType))
     kind = "string" if plain else field.dataType.simpleString()
     listed = ", ".join(f"try_cast({sql_text(v)} as {kind})" for v in valid)
-    return f"count_if({column} is not null and not coalesce(cast({column} as {kind}) in ({listed}), false))"
+    value = as_text(field) if plain else column
+    return f"count_if({column} is not null and not coalesce({value} in ({listed}), false))"
 
 
 def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> DataFrame:
@@ -224,14 +232,16 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
     ).collect()
     patterns = _known_patterns(spark, (w["invalid_regex"] for w in wanted if w["invalid_regex"]))
 
+    by_table = defaultdict(list)
+    for w in wanted:
+        by_table[w["name"]].append(w)
     counted = []
     for name, table in tables.items():
         fields = {f.name.lower(): f for f in table.schema}
         todo = [
             w
-            for w in wanted
-            if w["name"] == name
-            and w["argument"].lower() in fields
+            for w in by_table[name]
+            if w["argument"].lower() in fields
             and (w["invalid_regex"] is None or w["invalid_regex"] in patterns)
         ]
         if todo:
@@ -239,9 +249,6 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
     values = union_all(counted)
     if values is None:
         values = local_frame(spark, [], _VALUES)
-    if len(wanted) <= _BROADCAST_COUNTS:
-        # One short row per thing counted, and their number is known here.
-        values = F.broadcast(values)
     return (
         parsed.join(values, [*TABLE_KEYS, "signature"], "left")
         .withColumn("outcome", _outcome())

@@ -181,7 +181,7 @@ def low_cardinality(
     """Every column of every table: is it of low cardinality, and if so with which values.
 
     A column is low when it has at most ``threshold`` distinct non-null values (none at all counts).
-    A column already tagged stays low whatever it holds now, unless ``recheck_tagged``; once it has
+    Maps, and what contains them, cannot be compared and are never found low. A column already tagged stays low whatever it holds now, unless ``recheck_tagged``; once it has
     outgrown the threshold its values are no longer listed (``values`` is null), as they would not
     fit a tag. :func:`column_values` gives them as rows.
     """
@@ -206,7 +206,7 @@ def low_cardinality(
             exact.append(_exact_values(name, table, [fields[name][c] for c in kept], tagged, limits[name]))
         settled += [
             (*name_parts(name), c, f.dataType.simpleString(), (name, c) in tagged, None)
-            for c, f in fields[name].items()
+            for c, f in ((f.name, f) for f in table.schema)
             if c not in kept
         ]
     if settled:

@@ -24,6 +24,9 @@ BLOCK_ROWS = 16_384
 
 _MATCH = "query_id {0}, doc_id {1}, score double"
 
+#: Vectors that can be compared.
+_WHOLE = "vector is not null and forall(vector, x -> x is not null)"
+
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """Vectors as rows of unit length; a zero vector stays zero."""
@@ -87,17 +90,27 @@ def top_k_similar(
 ) -> DataFrame:
     """The ``k`` documents most similar to each query by cosine, best first, ties by id.
 
-    ``queries`` has ``query_id`` and ``vector``, ``documents`` has ``doc_id`` and ``vector``, all
-    vectors of one length and never null. Scores are rounded to ``digits`` before ranking.
+    ``queries`` has ``query_id`` and ``vector``, ``documents`` has ``doc_id`` and ``vector``. A vector
+    that is null or holds a null matches nothing, on either side; the others must have one length, or
+    a ``ValueError`` is raised. Scores are rounded to ``digits`` before ranking.
 
     Documents whose vectors fit ``broadcast_bytes`` (their number is counted first) go to every
     executor, and the queries are then read in place without a shuffle. Beyond that, both sides are cut
     into blocks of bounded size by a hash of their ids; each pair of blocks is one task group.
     """
-    size = documents.agg(F.count("*").alias("count"), F.max(F.size("vector")).alias("width")).head()
+    queries, documents = queries.where(_WHOLE), documents.where(_WHOLE)
+    width = F.size("vector")
+    size = documents.agg(
+        F.count("*").alias("count"), F.min(width).alias("least"), F.max(width).alias("width")
+    ).head()
     width, count = size["width"], size["count"]
     if count == 0:
         return _empty(queries, documents)
+    if size["least"] != width:
+        raise ValueError(f"document vectors of lengths {size['least']} to {width}")
+    message = F.concat(F.lit(f"not a query vector of length {width}: "), F.size("vector").cast("string"))
+    fits = F.when(F.size("vector") == width, F.col("vector")).otherwise(F.raise_error(message))
+    queries = queries.select("query_id", fits.alias("vector"))
     kinds = queries.schema["query_id"].dataType.simpleString(), documents.schema["doc_id"].dataType.simpleString()
     schema = _MATCH.format(*kinds)
     if count * width * 8 <= broadcast_bytes:

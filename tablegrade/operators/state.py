@@ -32,6 +32,15 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: str | Column) -> Dat
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
+def settled(changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per key. Equal changes count once; changes of one key that differ fail the job."""
+    row = F.struct(*columns)
+    folded = changes.groupBy(*keys).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    message = F.concat(F.lit("changes differ for "), F.to_json(F.struct(*keys)))
+    one = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(F.raise_error(message))
+    return folded.select(*keys, one.alias("_row")).select(*keys, "_row.*")
+
+
 def _bucket(columns: list[str]) -> Column:
     """Bucket number of a row by a hash of some columns."""
     text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
@@ -209,12 +218,19 @@ def upsert_checks(checks: DataFrame, changes: DataFrame) -> DataFrame:
     """Set checks by column and tag. An untagged change never matches and is always added.
 
     Several stored checks may share a column and tag; all of them are set. Whether a change is new is
-    decided against the distinct stored keys, which are folded before they are shuffled.
+    decided against the distinct stored keys, which are folded before they are shuffled. Repeated
+    changes of a column and tag count once; if they differ the job fails.
     """
     keys = [*COLUMN_KEYS, "tag"]
+    untagged = changes.where("tag is null").select(*keys, "check")
+    changes = settled(changes.where("tag is not null"), keys, ["check"])
     stored = checks.where("tag is not null").select(*keys).distinct()
     added = numbered(changes.join(stored, keys, "left_anti"), "check_id", keys)
-    return append_numbered(update(checks, changes, keys, ["check"]), added, "check_id")
+    after = append_numbered(update(checks, changes, keys, ["check"]), added, "check_id")
+    others = numbered_copies(untagged, "check_id")
+    others = others.withColumn("check_id", highest_id(added, "check_id") + F.col("check_id"))
+    ids = highest_id(checks, "check_id") + F.col("check_id")
+    return append(after, others.withColumn("check_id", ids))
 
 
 def update_checks_by_id(checks: DataFrame, changes: DataFrame) -> DataFrame:
@@ -232,10 +248,10 @@ def drop_checks(checks: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def set_tags(tags: DataFrame, changes: DataFrame) -> DataFrame:
-    """Set or replace column tags; one change per column and tag name."""
+    """Set or replace column tags. Repeated changes count once; if they differ the job fails."""
     if "tag_value" not in changes.columns:
         changes = changes.withColumn("tag_value", F.lit(None).cast("string"))
-    return upsert(tags, changes.select(*TAG_KEYS, "tag_value"), TAG_KEYS, ["tag_value"])
+    return upsert(tags, settled(changes, TAG_KEYS, ["tag_value"]), TAG_KEYS, ["tag_value"])
 
 
 def unset_tags(tags: DataFrame, gone: DataFrame) -> DataFrame:

@@ -44,7 +44,10 @@ def suggest_checks(profile: DataFrame, counts: DataFrame) -> DataFrame:
     A column without nulls must stay so; a column of low cardinality must keep to the values seen.
     Columns that give neither, among them those without any value, get no row.
     """
-    name = F.col("column_name")
+    # Names that the check language could misread stand in backticks.
+    name = F.when(
+        F.col("column_name").rlike(r"^[^()`\s]+( [^()`\s]+)*$"), F.col("column_name")
+    ).otherwise(F.concat(F.lit("`"), F.replace("column_name", F.lit("`"), F.lit("``")), F.lit("`")))
     complete = F.when(
         (F.col("null_count") == 0) & (F.col("row_count") > 0),
         F.concat(F.lit("  - missing_count("), name, F.lit(") = 0")),

@@ -15,7 +15,11 @@ def read_knowledge_base(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_knowledge(knowledge_base: DataFrame, rows: DataFrame) -> DataFrame:
-    """Add reference checks whose id is not stored yet, so that loading twice changes nothing."""
-    known = knowledge_base.select("check_id")
-    fresh = rows.dropDuplicates(["check_id"]).join(known, "check_id", "left_anti")
+    """Add reference checks that are not stored yet, so that loading twice changes nothing.
+
+    Rows are the same if all their fields are, nulls included: a known id with another text is added
+    beside the old row.
+    """
+    fields = KNOWLEDGE_BASE.fieldNames()
+    fresh = rows.select(*fields).subtract(knowledge_base.select(*fields))
     return append(knowledge_base, fresh)

@@ -167,3 +167,22 @@ def test_a_table_with_very_many_checks_gets_several_documents(spark):
     assert lines == [f"  - check {i}" for i in range(9_000)]
     assert max(r["yaml_content"].count("\n") for r in found) <= 200
     assert {r["part"] for r in found if r["table_name"] != "hot"} == {0}
+
+
+def test_suggested_checks_hold_on_awkward_columns(spark):
+    data = spark.sql(
+        "select array(id % 2) as list, named_struct('a', id % 2) as pair, map('k', id) as kept, "
+        "concat('x', char(13), id % 2) as broken, concat('x', decode(unhex('E280A8'), 'utf-8'), id % 2) as lines, "
+        "id % 2 as `total (usd)`, id % 2 as `a``b` from range(30)"
+    )
+    tables = {"c.s.awkward": data}
+    found = suggest.suggest_checks(profile.low_cardinality(spark, tables), profile.column_counts(tables))
+    drafts = found.selectExpr("row_number() over (order by column_name) as check_id", "*")
+    results = checks.evaluate_checks(spark, drafts, tables).collect()
+    assert {r["outcome"] for r in results} == {"pass"} and len(results) == 13
+
+
+def test_checks_without_an_id_are_rendered(spark):
+    rows = [("c", "s", "t", 1, "a", "missing_count(a) = 0"), ("c", "s", "t", None, "b", "missing_count(b) = 0")]
+    rows = spark.createDataFrame(rows, "catalog_name string, schema_name string, table_name string, check_id long, column_name string, check string")
+    assert checks.render_checks(rows).first()["yaml_content"].count("  - ") == 2

@@ -186,3 +186,14 @@ def test_metric_rows(spark):
     signals = frame(spark, "a boolean, b boolean", ("t", True, None))
     rows = score.metric_rows(signals, {"a": "is_fresh", "b": "columns_valid"})
     assert as_set(rows, "table_name", "metric", "value") == {("t", "is_fresh", True), ("t", "columns_valid", None)}
+
+
+def test_repeated_changes_count_once(spark):
+    stored = state.upsert_checks(empty(spark, COLUMN_CHECKS), frame(spark, CHECKS, ("t", "a", "x", "g")))
+    repeated = frame(spark, CHECKS, ("t", "a", "y", "g"), ("t", "a", "y", "g"), ("t", "b", "n", "g"), ("t", "b", "n", "g"))
+    untagged = frame(spark, CHECKS, *[("t", "a", "u", None)] * 3)
+    after = state.upsert_checks(stored, repeated.union(untagged)).collect()
+    assert sorted((r["column_name"], r["check"]) for r in after) == [("a", "u")] * 3 + [("a", "y"), ("b", "n")]
+    assert len({r["check_id"] for r in after}) == 5
+    with pytest.raises(Exception, match="changes differ"):
+        state.upsert_checks(stored, frame(spark, CHECKS, ("t", "a", "y", "g"), ("t", "a", "z", "g"))).collect()

@@ -143,3 +143,13 @@ def test_last_message(spark):
 
 def test_by_table_helper(spark):
     assert by_table(frame(spark, "x int", ("t", 1)), "x") == {"t": 1}
+
+
+def test_null_vectors_leave_the_others_alone(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [None, 1.0])], "query_id bigint, vector array<float>")
+    d = spark.createDataFrame([(10, None), (11, [1.0, 0.0]), (12, [0.0, 1.0])], "doc_id bigint, vector array<float>")
+    for size in (0, 1 << 20):
+        found = retrieval.top_k_similar(q, d, 1, broadcast_bytes=size)
+        assert as_set(found, "query_id", "doc_id") == {(1, 11), (3, 12)}
+    with pytest.raises(ValueError, match="lengths"):
+        retrieval.top_k_similar(q, d.union(vectors(spark, "doc_id", [(13, [1])])), 1)
