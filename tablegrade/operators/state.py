@@ -225,10 +225,15 @@ def upsert_checks(checks: DataFrame, changes: DataFrame) -> DataFrame:
     untagged = changes.where("tag is null").select(*keys, "check")
     changes = settled(changes.where("tag is not null"), keys, ["check"])
     stored = checks.where("tag is not null").select(*keys).distinct()
-    added = numbered(changes.join(stored, keys, "left_anti"), "check_id", keys)
-    after = append_numbered(update(checks, changes, keys, ["check"]), added, "check_id")
-    others = numbered_copies(untagged, "check_id")
+    # Columns with one untagged change are numbered by key; the changes of the others by all their values.
+    counted = untagged.groupBy(*keys).agg(F.count("*").alias("n"), F.min("check").alias("check"))
+    single = counted.where("n = 1").dropna(subset=COLUMN_KEYS).drop("n")
+    repeated = untagged.join(single.select(*COLUMN_KEYS), COLUMN_KEYS, "left_anti")
+    new = changes.join(stored, keys, "left_anti").unionByName(single)
+    added = numbered(new, "check_id", keys)
+    others = numbered_copies(repeated.select(*keys, "check"), "check_id")
     others = others.withColumn("check_id", highest_id(added, "check_id") + F.col("check_id"))
+    after = append_numbered(update(checks, changes, keys, ["check"]), added, "check_id")
     ids = highest_id(checks, "check_id") + F.col("check_id")
     return append(after, others.withColumn("check_id", ids))
 
