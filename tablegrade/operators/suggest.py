@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegrade.functions.expressions import stripped
-from tablegrade.schemas import COLUMN_KEYS, GENERATED
+from tablegrade.schemas import COLUMN_KEYS, GENERATED, TAG_LOW_CARDINALITY
 
 DESCRIPTION_PROMPT = (
     "Write a description of the table column given below, two sentences at most. Keep what its "
@@ -74,12 +74,35 @@ def suggest_checks(profile: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def draft_descriptions(columns: DataFrame, profile: DataFrame) -> DataFrame:
+def _listing(values: Column) -> Column:
+    """The end of a drafted comment: the values of a column, joined."""
+    return F.concat(F.lit(". Valid values: "), values)
+
+
+def draft_descriptions(
+    columns: DataFrame, profile: DataFrame, tags: DataFrame | None = None
+) -> DataFrame:
     """A comment for every column: its present one if filled, else its name and type in words.
 
-    Values of low-cardinality columns are added as "valid values", once.
+    Values of low-cardinality columns are added as "valid values", once: a present comment loses its end
+    if that lists the values of now or those of the low-cardinality tag in ``tags``, the tags from
+    before the profile. Any other text stays as it is.
     """
-    present = F.regexp_replace(stripped(F.coalesce("comment", F.lit(""))), r"(?is)\.?\s*valid values: .*$", "")
+    found = profile.select(*COLUMN_KEYS, "is_low_cardinality", "values")
+    columns = columns.join(found, COLUMN_KEYS, "left")
+    lists = [F.array_join("values", ", ")]
+    if tags is not None:
+        listed = tags.where((F.col("tag_name") == TAG_LOW_CARDINALITY) & F.col("tag_value").isNotNull())
+        columns = columns.join(
+            listed.groupBy(*COLUMN_KEYS).agg(F.max("tag_value").alias("listed_before")), COLUMN_KEYS, "left"
+        )
+        lists.append(F.col("listed_before"))
+    comment = stripped(F.coalesce("comment", F.lit("")))
+    present = comment
+    for values in lists:
+        end = F.concat(_listing(values), F.lit("."))
+        shorter = comment.substr(F.lit(1), F.length(comment) - F.length(end))
+        present = F.when(comment.endswith(end), shorter).otherwise(present)
     words = F.regexp_replace(F.regexp_replace("column_name", "_", " "), r"\s+", " ")
     start = F.concat(F.upper(F.substring(words, 1, 1)), words.substr(F.lit(2), F.length(words)))
     optional = F.when(F.col("is_nullable") == "YES", ", may be empty").otherwise("")
@@ -87,11 +110,9 @@ def draft_descriptions(columns: DataFrame, profile: DataFrame) -> DataFrame:
     text = F.regexp_replace(F.when(present != "", present).otherwise(fallback), r"\.$", "")
     values = F.when(
         F.col("is_low_cardinality") & (F.size("values") > 0),
-        F.concat(F.lit(". Valid values: "), F.array_join("values", ", ")),
+        _listing(F.array_join("values", ", ")),
     ).otherwise("")
-    return columns.join(
-        profile.select(*COLUMN_KEYS, "is_low_cardinality", "values"), COLUMN_KEYS, "left"
-    ).select(
+    return columns.select(
         *COLUMN_KEYS,
         F.concat(text, F.coalesce(values, F.lit("")), F.lit(".")).alias("comment"),
     )

@@ -111,9 +111,9 @@ def enrich(
     profile = stored_once(
         in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags))
     )
-    tags = stored_once(update_low_cardinality_tags(profile, tags))
+    before, tags = tags, stored_once(update_low_cardinality_tags(profile, tags))
     pending = in_scope(pending_columns(state.columns, tags, TAG_COMMENT), config)
-    drafts = draft_descriptions(pending, profile)
+    drafts = draft_descriptions(pending, profile, before)
     columns, tags = set_comments(state.columns, tags, drafts)
     return replace(state, columns=columns, tags=tags, checks=checks), profile
 

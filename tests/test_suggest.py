@@ -32,16 +32,24 @@ def test_descriptions(spark):
         spark, "column_name string, is_nullable string, data_type string, comment string",
         ("t", "order_status", "YES", "string", None), ("t", "id", "NO", "bigint", " "), ("t", "kept", "NO", "int", "Already told."),
         ("t", "again", "NO", "int", "Told. Valid values: x, y."), ("t", "unprofiled", "NO", "map", None),
+        ("t", "told", "NO", "string", "Order state. Valid values: see wiki. Owned by ops."), ("t", "same", "NO", "int", "Held. Valid values: z."),
     )
     profile = frame(
         spark, PROFILE, ("t", "order_status", True, ["F", "O"]), ("t", "id", False, None), ("t", "kept", True, []), ("t", "again", True, ["z"]),
+        ("t", "told", True, ["a"]), ("t", "same", True, ["z"]),
     )
-    assert as_set(suggest.draft_descriptions(columns, profile), "column_name", "comment") == {
+    tags = frame(
+        spark, "column_name string, tag_name string, tag_value string",
+        ("t", "again", "has_low_cardinality", "x, y"), ("t", "again", "has_check", None), ("t", "told", "has_low_cardinality", "b"),
+    )
+    assert as_set(suggest.draft_descriptions(columns, profile, tags), "column_name", "comment") == {
         ("order_status", "Order status (string, may be empty). Valid values: F, O."),
         ("id", "Id (bigint)."),
         ("kept", "Already told."),
         ("again", "Told. Valid values: z."),
         ("unprofiled", "Unprofiled (map)."),
+        ("told", "Order state. Valid values: see wiki. Owned by ops. Valid values: a."),
+        ("same", "Held. Valid values: z."),
     }
 
 
