@@ -39,6 +39,8 @@ Tables = Mapping[str, DataFrame]
 
 #: Rows looked at before a table is scanned.
 _FIRST_ROWS = 200
+#: The largest threshold within the sketch's proven range; above it, values are counted exactly.
+LARGEST_SKETCHED = 1 << 14
 #: Small jobs the driver submits side by side.
 _JOBS_AT_ONCE = 16
 
@@ -88,9 +90,9 @@ def sketch_limit(threshold: int) -> tuple[float, int]:
     well inside the range where the sketch uses that formula. One is added for rounding and two more
     for values that the sketch tells apart but equality does not (zero and minus zero).
     """
+    if threshold > LARGEST_SKETCHED:
+        raise ValueError(f"a threshold of {threshold} is beyond the sketch's range")
     p = max(9, math.ceil(math.log2(4 * max(threshold, 1))))
-    if p > 16:
-        raise ValueError(f"a threshold of {threshold} is not low cardinality")
     m = 2**p
     # p = ceil(2 * log2(1.106 / accuracy)); aim just inside so that exactly p registers bits result.
     accuracy = 1.106 / 2 ** (p / 2) * 1.0001
@@ -101,10 +103,10 @@ def _open_after_first_rows(table: DataFrame, columns: list[str], threshold: int)
     """Columns that do not exceed the threshold within the first rows.
 
     Only 64-bit hashes reach the driver. Unequal hashes prove unequal values, so a column is
-    dropped only when it surely exceeds the threshold.
+    dropped only when it surely exceeds the threshold. Beyond the sketch's range nothing is looked at.
     """
-    if not columns:
-        return []
+    if not columns or threshold > LARGEST_SKETCHED:
+        return columns
     rows = max(_FIRST_ROWS, 4 * threshold)
     hashes = [f"if(isnull({c}), null, xxhash64({c}))" for c in map(sql_name, columns)]
     seen = table.selectExpr(f"array({', '.join(hashes)}) as hashes").limit(rows).collect()
@@ -143,11 +145,25 @@ def at_once(function: Callable, items: list) -> list:
         return list(pool.map(function, items))
 
 
+def distinct_values(name: str, table: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """The distinct non-null values of several columns as rows, from one scan of just these columns."""
+    keys = {k: sql_text(p) for k, p in zip(TABLE_KEYS, name_parts(name))}
+    cells = [sql_struct(**keys, column_name=sql_text(f.name), value=as_text(f)) for f in fields]
+    return table.selectExpr(f"inline(array({', '.join(cells)}))").where("value is not null").distinct()
+
+
 def _sketched(tables: Tables, open_columns: Mapping[str, list[str]], thresholds: Mapping[str, int]):
-    """Estimated distinct counts of the open columns of all tables, from one job."""
+    """Estimated distinct counts of the open columns of all tables, from one job.
+
+    Exact ones where the threshold is beyond the sketch's range; columns without values are missing then.
+    """
     frames = []
     for name, columns in open_columns.items():
-        if columns:
+        if columns and thresholds[name] > LARGEST_SKETCHED:
+            asked = [f for f in tables[name].schema if f.name in columns]
+            values = distinct_values(name, tables[name], asked)
+            frames.append(values.groupBy(*COLUMN_KEYS).agg(F.count("value").alias("estimate")))
+        elif columns:
             accuracy, _ = sketch_limit(thresholds[name])
             counts = {
                 c: {"estimate": f"approx_count_distinct({sql_name(c)}, {accuracy}D)"} for c in columns
@@ -183,7 +199,7 @@ def low_cardinality(
     A column is low when it has at most ``threshold`` distinct non-null values (none at all counts).
     Maps, and what contains them, cannot be compared and are never found low. A column already tagged stays low whatever it holds now, unless ``recheck_tagged``; once it has
     outgrown the threshold its values are no longer listed (``values`` is null), as they would not
-    fit a tag. :func:`column_values` gives them as rows.
+    fit a tag. :func:`low_cardinality_values` gives them all as rows.
     """
     limits = {
         name: thresholds if isinstance(thresholds, int) else thresholds.get(name, DEFAULT_THRESHOLD)
@@ -200,8 +216,9 @@ def low_cardinality(
 
     exact, settled = [], []
     for name, table in tables.items():
-        low_limit = sketch_limit(limits[name])[1]
-        kept = [c for c in still_open[name] if estimates[name, c] <= low_limit]
+        exactly = limits[name] > LARGEST_SKETCHED
+        low_limit = limits[name] if exactly else sketch_limit(limits[name])[1]
+        kept = [c for c in still_open[name] if estimates.get((name, c), 0) <= low_limit]
         if kept:
             exact.append(_exact_values(name, table, [fields[name][c] for c in kept], tagged, limits[name]))
         settled += [
@@ -236,6 +253,27 @@ def _exact_values(
     )
 
 
+def low_cardinality_values(
+    spark: SparkSession,
+    tables: Tables,
+    thresholds: int | Mapping[str, int] = DEFAULT_THRESHOLD,
+    tags: DataFrame | None = None,
+) -> DataFrame:
+    """Every distinct non-null value of every column that is low or tagged as low, one row per value.
+
+    Tagged columns may have outgrown any threshold: their values are never gathered into a list.
+    """
+    tagged = _tagged_columns(tags, tables)
+    frames, others = [], {}
+    for name, table in tables.items():
+        held = [f for f in countable_columns(table) if (name, f.name) in tagged]
+        if held:
+            frames.append(distinct_values(name, table, held))
+        others[name] = table.drop(*[f.name for f in held])
+    low = low_cardinality(spark, others, thresholds).where("is_low_cardinality")
+    return union_all([*frames, low.select(*COLUMN_KEYS, F.explode("values").alias("value"))])
+
+
 def column_values(table: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values of one column as rows, for columns too varied for a list."""
     field = table.schema[column]

@@ -47,9 +47,13 @@ def test_the_sketch_never_exceeds_its_limit(spark, threshold):
     assert estimates.agg(F.max("n")).collect()[0][0] <= limit
 
 
-def test_a_threshold_too_large_is_refused():
-    with pytest.raises(ValueError, match="not low cardinality"):
+def test_a_threshold_beyond_the_sketch_is_counted_exactly(spark):
+    with pytest.raises(ValueError, match="beyond"):
         profile.sketch_limit(20_000)
+    table = spark.range(45_000).selectExpr("id % 20000 as low", "id % 20001 as high", "cast(null as int) as void", "id % 2 as few")
+    result = found(spark, table, 20_000)
+    assert result["high"] == (False, None) and result["void"] == (True, []) and result["few"] == (True, ["0", "1"])
+    assert result["low"][0] and sorted(map(int, result["low"][1])) == list(range(20_000))
 
 
 def test_the_threshold_is_inclusive(spark):
@@ -70,7 +74,7 @@ def test_nulls_and_empty_tables(spark):
     assert found(spark, table.where("false")) == {"n": (True, []), "v": (True, [])}
 
 
-def test_nested_columns_are_counted_and_maps_left_out(spark):
+def test_nested_columns_are_counted_and_maps_never_low(spark):
     schema = T.StructType(
         [
             T.StructField("list", T.ArrayType(T.IntegerType())),
@@ -80,7 +84,8 @@ def test_nested_columns_are_counted_and_maps_left_out(spark):
         ]
     )
     table = spark.createDataFrame([([1], (2,), {}, []), ([1], None, {}, [])], schema)
-    assert found(spark, table) == {"list": (True, ["[1]"]), "pair": (True, ['{"x":2}'])}
+    expected = {"list": (True, ["[1]"]), "pair": (True, ['{"x":2}']), "map": (False, None), "deep": (False, None)}
+    assert found(spark, table) == expected
 
 
 def test_awkward_column_names(spark):
@@ -95,6 +100,8 @@ def test_a_tagged_column_stays_low(spark):
     assert result == {"grown": (True, None), "small": (True, ["0", "1"]), "untagged": (False, None)}
     assert found(spark, table, tags=tags, recheck_tagged=True)["grown"] == (False, None)
     assert profile.column_values(table, "grown").count() == 500
+    rows = profile.low_cardinality_values(spark, {"c.s.t": table}, tags=tags).collect()
+    assert sorted((r["column_name"], r["value"]) for r in rows) == sorted([("grown", str(i)) for i in range(500)] + [("small", "0"), ("small", "1")])
 
 
 def test_thresholds_by_table(spark):
@@ -105,7 +112,7 @@ def test_thresholds_by_table(spark):
 
 def test_tables_without_columns_to_look_at(spark):
     assert profile.low_cardinality(spark, {}).count() == 0
-    assert found(spark, spark.range(1).selectExpr("map(1, 2) as m")) == {}
+    assert found(spark, spark.range(1).selectExpr("map(1, 2) as m")) == {"m": (False, None)}
 
 
 def profiled(spark, *rows):

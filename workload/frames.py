@@ -532,6 +532,11 @@ def vector_queries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def all_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector as a document."""
+    return vector_queries(spark, folder).withColumnRenamed("query_id", "doc_id")
+
+
 def vector_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The reference checks with a vector each, by equal number."""
     vectors = read(spark, folder, "embeddings").select(

@@ -185,6 +185,12 @@ SELECT query_id, rank, doc_id, score FROM (
   FROM (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_cosine_similarity(
       CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) + 0.0 AS score
     FROM embeddings q, embeddings d WHERE d.vec_id IN (SELECT item_id FROM benchmark)))
+WHERE rank <= 5""",
+    "all_matches": """
+SELECT query_id, rank, doc_id, score FROM (
+  SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+  FROM (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_cosine_similarity(
+      CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) + 0.0 AS score FROM embeddings q, embeddings d))
 WHERE rank <= 5""",
     "contexts": """
 SELECT query_id, string_agg('+check_syntax: ' || chr(10) || ' missing_count(c' || item_id || ') = 0' || chr(10)
@@ -500,6 +506,17 @@ UNION ALL SELECT table_name, column_name, tag_name, tag_value FROM p,
   (VALUES ('has_check', NULL), ('has_comment', '')) held(tag_name, tag_value)
 WHERE data_type = 'string' AND (NOT low OR {_JOINED} = 'F, O, P')""",
 )
+_KEY_VALUES = " UNION ALL ".join(
+    f"SELECT DISTINCT 'lake.main.{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {t} WHERE {c} IS NOT NULL"
+    for t, c, _ in COLUMNS
+    if c.endswith("key")
+)
+sql(
+    "low_cardinality_values",
+    "",
+    f"""SELECT table_name, column_name, unnest(vals) AS value FROM ({_profile()})
+WHERE low AND NOT ends_with(column_name, 'key') UNION ALL {_KEY_VALUES}""",
+)
 sql("column_values", "", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS value FROM orders")
 
 # --- checks ---------------------------------------------------------------------------------------
@@ -703,8 +720,8 @@ sql(
 
 # --- retrieval and drafting -----------------------------------------------------------------------
 
-sql("similar_topk", "matches", "SELECT * FROM matches")
-sql("similar_topk_in_blocks", "matches", "SELECT * FROM matches")
+sql("similar_topk", "all_matches", "SELECT * FROM all_matches")
+sql("similar_topk_in_blocks", "all_matches", "SELECT * FROM all_matches")
 sql(
     "retrieved_documents",
     "matches",

@@ -380,6 +380,15 @@ def low_cardinality_tags(spark, folder):
     return flat(P.update_low_cardinality_tags(profile, tags))
 
 
+@query
+def low_cardinality_values(spark, folder):
+    """All values of the columns that are low, and of all key columns, which are tagged from before."""
+    tables = W.monitored(spark, folder)
+    keys = columns_of(spark, tables).where("column_name like '%key'").select(*COLUMN_KEYS)
+    tags = keys.withColumns({"tag_name": F.lit("has_low_cardinality"), "tag_value": F.lit("1, 2")})
+    return flat(P.low_cardinality_values(spark, tables, tags=tags))
+
+
 @query
 def column_values(spark, folder):
     """Distinct values of a column too varied to be listed, as rows."""
@@ -579,7 +588,7 @@ def band_counts(spark, folder):
 
 @query
 def similar_topk(spark, folder):
-    return T.top_k_similar(W.vector_queries(spark, folder), W.vector_documents(spark, folder))
+    return T.top_k_similar(W.vector_queries(spark, folder), W.all_vectors(spark, folder))
 
 
 @query
@@ -587,7 +596,7 @@ def similar_topk_in_blocks(spark, folder):
     """The same with nothing broadcast, as for a document set of any size."""
     return T.top_k_similar(
         W.vector_queries(spark, folder),
-        W.vector_documents(spark, folder),
+        W.all_vectors(spark, folder),
         broadcast_bytes=0,
         block_rows=512,
     )
@@ -595,7 +604,9 @@ def similar_topk_in_blocks(spark, folder):
 
 @query
 def retrieved_documents(spark, folder):
-    return T.documents_of(similar_topk(spark, folder), W.reference_checks(spark, folder))
+    """The reference checks that are nearest to each vector, with their texts."""
+    found = T.top_k_similar(W.vector_queries(spark, folder), W.vector_documents(spark, folder))
+    return T.documents_of(found, W.reference_checks(spark, folder))
 
 
 @query
