@@ -109,7 +109,8 @@ def members(found: DataFrame) -> DataFrame:
     entries = found.filter("n > 0").select("class", F.posexplode("prefixes").alias("tree", "prefix"))
     sizes = entries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    met = entries.join(sizes, ["tree", "prefix"]).withColumn("blocks", blocks)
+    # Stored first, so that a prefix with many classes can be split in the join.
+    met = entries.join(for_all(stored_once(sizes), 48), ["tree", "prefix"]).withColumn("blocks", blocks)
     met = met.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return met.select("class", "tree", "prefix", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
@@ -247,17 +248,18 @@ def joined(docs: DataFrame, sketched: DataFrame, text_column: str = "text", targ
 def components(edges: DataFrame) -> DataFrame:
     """``class`` and ``root``, the smallest class that it is connected with, of every class in ``edges`` (``class``, ``lead``).
 
-    Alternating large and small stars, each round written to the shared folder, until nothing changes.
+    Alternating large and small stars, each round written to the shared folder, until nothing changes. What a round joins is
+    stored first: a join of stored tables can be split where a class has many neighbours.
     """
     pairs = stored_once(edges.filter("class != lead").select(F.greatest("class", "lead").alias("u"), F.least("class", "lead").alias("v")).distinct())
     seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = large.filter("u != v")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u")
+        low = stored_once(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
+        large = both.filter("v > u").join(for_all(low, 64), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored_once(large.filter("u != v").distinct())
+        low = stored_once(large.groupBy("u").agg(F.min("v").alias("m")))
+        moved = large.join(for_all(low, 64), "u")
         small = moved.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(moved.select("u", F.col("m").alias("v")))
         pairs = stored_once(small.filter("u != v").distinct())
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -279,8 +281,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     roots = components(links.select("class", "lead"))
     named = found.select("class", "class_id").join(counts, "class", "left").join(roots, "class", "left")
     named = named.select("class", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "class").alias("group"))
-    smallest = named.groupBy("group").agg(F.min("class_id").alias("group_id"))
-    named = stored_once(named.join(smallest, "group"))
+    named = stored_once(named)
+    smallest = stored_once(named.groupBy("group").agg(F.min("class_id").alias("group_id")))
+    named = stored_once(named.join(for_all(smallest, 48), "group"))
     return sketched.select("key_id", "key_text", "class").join(named, "class")
 
 
@@ -291,10 +294,12 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     rows = stored_once(near_duplicates(docs, id_column, text_column).select("key_id", "key_text", "group"))
     order = F.struct(F.col("key_id").isNull().alias("last"), "key_id", "key_text")
-    kept = rows.groupBy("group").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    counted = rows.groupBy("group", "key_id", "key_text").agg(F.count(F.lit(1)).alias("times")).join(kept, "group")
-    stays = F.col("key_id").eqNullSafe(F.col("kept.key_id")) & (F.col("key_text") == F.col("kept.key_text"))
-    marked = stored_once(counted.select("key_id", "key_text", "times", stays.alias("stays")).filter("NOT stays OR times > 1"))
+    # The one that stays is counted together with its own rows, so that no group meets in one place.
+    kept = rows.groupBy("group").agg(F.min(order).alias("kept"))
+    kept = kept.select("group", "kept.key_id", "kept.key_text", F.lit(0).alias("times"), F.lit(True).alias("stays"))
+    every = rows.select("group", "key_id", "key_text", F.lit(1).alias("times"), F.lit(False).alias("stays")).unionByName(kept)
+    counted = every.groupBy("group", "key_id", "key_text").agg(F.sum("times").alias("times"), F.bool_or("stays").alias("stays"))
+    marked = stored_once(counted.select("key_id", "key_text", "times", "stays").filter("NOT stays OR times > 1"))
     texts = content_key(col(id_column), col(text_column))
 
     def matched(source: DataFrame, keys: DataFrame, how: str) -> DataFrame:
