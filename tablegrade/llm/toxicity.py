@@ -4,7 +4,7 @@ A token's score is its log-odds of standing in a toxic document, against the sha
 Counts are of documents. Odds have Dirichlet priors that go up a chain: a word's prior mean is the odds of its first six
 letters, theirs those of the first five, and so on to the share of all tokens. So a rare or new form of a known
 word is scored by its relatives, and an unknown token by the share of all. Counts are kept in a hashed table of fixed size.
-As counts are of documents, a word scores once in a text; where it stands again it only counts against a passage.
+Counts of documents serve learning only; in a text a token has its score at every place.
 
 All maximal segments (in the sense of Ruzzo and Tompa) of a text are found in one pass. Their scores are set against what the best segment
 of a clean text of that length would score, by extreme-value statistics (Karlin and Altschul): a segment of score ``S``
@@ -39,16 +39,6 @@ THRESHOLD = 0.3
 _KEPT_WORDS = 300_000
 
 
-def once(words: list[str], scores: np.ndarray) -> np.ndarray:
-    """The scores, where words that score above 0 do so only at their first place."""
-    seen: set[str] = set()
-    for i in np.flatnonzero(scores > 0).tolist():
-        if words[i] in seen:
-            scores[i] = -DRIFT
-        seen.add(words[i])
-    return scores
-
-
 def tokens(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
@@ -112,7 +102,7 @@ class Toxicity:
             kept.clear()
         for word in set(words).difference(kept):
             kept[word] = self.odds(word)
-        return once(words, np.fromiter(map(kept.__getitem__, words), np.float64, len(words)))
+        return np.fromiter(map(kept.__getitem__, words), np.float64, len(words))
 
     def surprise(self, found: list[tuple[int, int, float]], length: int) -> float:
         """Summed surprise of the significant segments of a text."""
@@ -227,7 +217,7 @@ def calibrated(model: Toxicity, rows: DataFrame, fraction: float) -> Toxicity:
                     own.clear()
                 for word in set(words).difference(own):
                     own[word] = model.odds(word, (toxic, 1 - toxic))
-                scores = once(words, np.fromiter(map(own.__getitem__, words), np.float64, len(words)))
+                scores = np.fromiter(map(own.__getitem__, words), np.float64, len(words))
                 if not toxic:
                     histogram += np.bincount(np.searchsorted(edges, scores), minlength=len(edges) + 1)
                 out.append((toxic, len(words), [s for _, _, s in segments(scores)], -1, 0))

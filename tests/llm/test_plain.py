@@ -43,6 +43,20 @@ def test_segments_are_maximal(scores):
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
 
 
+def test_words_score_at_every_place():
+    toxic, clean = np.zeros(toxicity.PLACES, np.float32), np.full(toxicity.PLACES, 900, np.float32)
+    for word in ("idiot", "scum"):
+        places = toxicity.chain(word)
+        toxic[places], clean[places] = 90, 10
+    model = toxicity.Toxicity(toxic, clean, 0.1, scale=3.5, expected=0.005)
+    calm = "the wood is green again " * 20
+    dense = "idiot scum idiot scum idiot"
+    found = [(a, b) for a, b, _ in model.passages(f"{dense} {calm} {dense}")]
+    assert found == [(0, 5), (105, 110)]
+    assert model.passages("idiot " * 39)[0][:2] == (0, 39)
+    assert model.score("idiot " * 39) > model.score("idiot " + "the " * 38)
+
+
 @given(st.text(max_size=200) | st.sampled_from(["<|endoftext|> it's  \n\n 12 é\u00a0ß", "a" * 5000, "", "日本語 テキスト"]))
 @settings(max_examples=200, deadline=None)
 def test_ids_are_those_of_the_tokenizers_library(text):
