@@ -2,9 +2,9 @@
 
 A document is its set of five-word shingles. Documents with the same set form a class; links join different classes whose sets are
 similar. Every class has ``TREES`` signatures of ``DEEPEST`` minima each: paths in as many prefix tries. Classes that share a
-prefix in any tree are candidates. The join starts with the longest prefixes and shortens them by one minimum at a time until
-the recall that is estimated from the verified links reaches the target: a link of similarity ``s`` is found with probability
-``p = 1 - (1 - s ** depth) ** TREES``, so each found link stands for ``1 / p`` links.
+prefix in any tree are candidates. A link of similarity ``s`` is found with probability ``1 - (1 - s ** depth) ** TREES``. Prefixes
+are the longest for which even the weakest link, of similarity ``SIMILAR``, is found with the target's probability; so the
+target holds for every link, however many strong ones there are.
 
 Candidates are verified on whole sets, inside tasks: a task compares members of at most two blocks of one prefix and returns a row per
 member, never the pairs. A pair that shares several trees counts in the first of them only. Large prefixes are split into
@@ -26,7 +26,7 @@ from tablegrade.llm.common import col, content_key, for_all, hashed_words, small
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
-TREES, DEEPEST, SHALLOWEST = 24, 9, 5
+TREES, DEEPEST = 24, 9
 RECALL = 0.99
 #: Members of a prefix that are compared in one task with as many others.
 BLOCK = 256
@@ -158,9 +158,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
-def compared(rows: list[tuple], tree: int, cross: bool, depth: int) -> list[tuple]:
-    """The verified links of one meeting: for each member with links, its class, their number, the number that they stand for, and the
-    smallest class among those it is joined with."""
+def compared(rows: list[tuple], tree: int, cross: bool) -> list[tuple]:
+    """The verified links of one meeting: for each member with links, its class, their number, and the smallest class among those it
+    is joined with."""
     names, blocks = [r[0] for r in rows], np.array([r[1] for r in rows])
     sets = [r[3] for r in rows]
     prefixes = np.array([r[2] for r in rows])
@@ -175,7 +175,6 @@ def compared(rows: list[tuple], tree: int, cross: bool, depth: int) -> list[tupl
     a, b = a[first], b[first]
     if not len(a):
         return []
-    chance = 1 - (1 - similar[a, b].astype(float) ** depth) ** TREES
     root = list(range(len(rows)))
 
     def top(i: int) -> int:
@@ -188,15 +187,14 @@ def compared(rows: list[tuple], tree: int, cross: bool, depth: int) -> list[tupl
         x, y = top(i), top(j)
         if x != y:
             root[max(x, y, key=lambda k: names[k])] = min(x, y, key=lambda k: names[k])
-    links, weight = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+    links = np.zeros(len(rows), np.int64)
     for side in (a, b):
         np.add.at(links, side, 1)
-        np.add.at(weight, side, 1 / chance)
-    return [(names[i], int(links[i]), float(weight[i]), names[top(i)]) for i in np.flatnonzero(links).tolist()]
+    return [(names[i], int(links[i]), names[top(i)]) for i in np.flatnonzero(links).tolist()]
 
 
-def verified(met: DataFrame, payload: DataFrame, depth: int) -> DataFrame:
-    """``class``, ``links``, ``weight``, ``lead`` for every meeting in which a class has links."""
+def verified(met: DataFrame, payload: DataFrame) -> DataFrame:
+    """``class``, ``links``, ``lead`` for every meeting in which a class has links."""
     place = ["tree", "prefix", "low", "high"]
     rows = met.join(payload, "class").select(*place, "class", "block", "prefixes", "shingles")
     rows = rows.repartition(*place).sortWithinPartitions(*place, "class")
@@ -205,10 +203,10 @@ def verified(met: DataFrame, payload: DataFrame, depth: int) -> DataFrame:
         now, held, out = None, [], []
 
         def ready() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [[]] * 4
+            columns = list(zip(*out, strict=True)) or [[]] * 3
             out.clear()
-            kinds = (pa.binary(), pa.int64(), pa.float64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["class", "links", "weight", "lead"])
+            kinds = (pa.binary(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["class", "links", "lead"])
 
         for batch in batches:
             columns = [batch.column(i) for i in range(8)]
@@ -216,7 +214,7 @@ def verified(met: DataFrame, payload: DataFrame, depth: int) -> DataFrame:
             for i, key in enumerate(keys):
                 if key != now:
                     if len(held) > 1:
-                        out.extend(compared(held, now[0], now[2] != now[3], depth))
+                        out.extend(compared(held, now[0], now[2] != now[3]))
                     now, held = key, []
                 prefixes = columns[6][i].values.to_numpy(zero_copy_only=False)
                 found = columns[7][i].values.to_numpy(zero_copy_only=False)
@@ -224,25 +222,33 @@ def verified(met: DataFrame, payload: DataFrame, depth: int) -> DataFrame:
             if len(out) > 10_000:
                 yield ready()
         if len(held) > 1:
-            out.extend(compared(held, now[0], now[2] != now[3], depth))
+            out.extend(compared(held, now[0], now[2] != now[3]))
         yield ready()
 
-    return rows.mapInArrow(streamed, "class binary, links long, weight double, lead binary")
+    return rows.mapInArrow(streamed, "class binary, links long, lead binary")
 
 
-def joined(docs: DataFrame, sketched: DataFrame, text_column: str = "text", target: float = RECALL) -> tuple[DataFrame, DataFrame, float]:
-    """Classes and verified links at the longest prefixes whose estimated recall reaches the target; and that estimate."""
-    for depth in range(DEEPEST, SHALLOWEST - 1, -1):
-        found = stored_once(classes(sketched, depth))
-        met = stored_once(members(found))
-        wanted = found.join(met.select("class").distinct(), "class", "left_semi")
-        payload = sets_of(docs, wanted, text_column).join(found.select("class", "prefixes"), "class")
-        links = stored_once(verified(met, payload, depth))
-        total = links.agg(F.sum("links"), F.sum("weight")).first()
-        recall = total[0] / total[1] if total[1] else 1.0
-        if recall >= target or depth == SHALLOWEST:
-            return found, links, recall
-    raise AssertionError("no depth")
+def chance(similarity: float, depth: int) -> float:
+    """The probability that a link is found with prefixes of so many minima."""
+    return 1 - (1 - similarity**depth) ** TREES
+
+
+def depth_for(target: float) -> int:
+    """The longest prefixes with which the weakest link is found with the target's probability; an error if none are."""
+    for depth in range(DEEPEST, 0, -1):
+        if chance(SIMILAR, depth) >= target:
+            return depth
+    raise ValueError(f"{TREES} trees don't reach a recall of {target}")
+
+
+def joined(docs: DataFrame, sketched: DataFrame, text_column: str = "text", target: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """Classes and verified links at the longest prefixes that find every link with the target's probability."""
+    depth = depth_for(target)
+    found = stored_once(classes(sketched, depth))
+    met = stored_once(members(found))
+    wanted = found.join(met.select("class").distinct(), "class", "left_semi")
+    payload = sets_of(docs, wanted, text_column).join(found.select("class", "prefixes"), "class")
+    return found, stored_once(verified(met, payload))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -276,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ``class_id``. Ids and rows may repeat. Other columns are not read. Shingles are compared by 64-bit hashes.
     """
     sketched = sketches(docs, id_column, text_column)
-    found, links, _ = joined(docs, sketched, text_column, target)
+    found, links = joined(docs, sketched, text_column, target)
     counts = links.groupBy("class").agg(F.sum("links").alias("n_links"))
     roots = components(links.select("class", "lead"))
     named = found.select("class", "class_id").join(counts, "class", "left").join(roots, "class", "left")

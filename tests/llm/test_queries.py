@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -140,6 +141,22 @@ def test_near_duplicates_by_brute_force(spark, tiny):
     assert all(r["class_id"] == min(i for i, s in sets.items() if s == sets[r["doc_id"]]) for r in found)
 
 
+def test_weak_links_beside_a_hot_group(spark):
+    """300 pairs of similarity 0.8 exactly, and one group of 80 very similar texts that has most links."""
+    rng = random.Random(7)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    edited = lambda base, at: " ".join([*base[:at], *words(1), *base[at + 1 :]])
+    rows = []
+    for i in range(300):
+        base = words(49)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, edited(base, 24))]
+    hot = words(400)
+    rows += [(1000 + i, edited(hot, 5 * i)) for i in range(80)]
+    found = {r["key_id"]: r["n_links"] for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[1000 + i] == 79 for i in range(80))
+    assert sum(found[2 * i] == 0 for i in range(300)) <= 3
+
+
 def test_pipeline(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     columns, kept = docs.columns, {r["doc_id"] for r in docs.collect()}
