@@ -2,18 +2,19 @@
 
 Every pair of neighbouring words of a document is joined, by its hash, with the places of the same pair in license templates. A pair
 at word ``d`` of the document and ``t`` of the template votes for the diagonal ``d - t``: words that stand in the same order
-vote for one diagonal. Votes are added up by diagonal; diagonals a few words apart (words put in or left out) are merged; and a
-merged span is verified by the share of the template's own words that stand in it in order.
+vote for one diagonal. Votes are added up by diagonal; within a window of twice the template's length, diagonals a few words apart
+(words put in or left out) are merged; and a merged span is verified by the share of the template's own words that stand in it in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegrade.llm.common import col, content_key, for_all, table
+from tablegrade.llm.common import col, content_key, for_all, small_batches, table
 
 #: Words of a hashed run, and how many words apart diagonals may be to be merged.
 RUN, APART = 2, 3
@@ -81,23 +82,54 @@ def votes(docs: DataFrame, places: DataFrame, id_column: str, text_column: str,
     return found.select("key_id", "key_text", "base", "template", "label", "runs", "t", "d").distinct()
 
 
-def spans(found: DataFrame, apart: int = APART) -> DataFrame:
-    """Merged spans: keys, template, ``first_word``, ``last_word`` (start of the last run), ``share`` of the template's runs."""
+def chained(voted: list[tuple[int, int]], runs: int, least: float = LEAST, apart: int = APART) -> list[tuple[int, int, float]]:
+    """Spans ``(first, last, share)`` of a template among its votes ``(d, t)`` in a document, the best first, none overlapping.
+
+    A window starts at every vote and is twice as long as the template; diagonals are chained within it, so what stands elsewhere
+    in the document cannot lengthen a span.
+    """
+    voted, found, end = sorted(voted), set(), 0
+    for at, (start, _) in enumerate(voted):
+        while end < len(voted) and voted[end][0] < start + 2 * runs:
+            end += 1
+        if len({t for _, t in voted[at:end]}) / runs < least:
+            continue
+        chain: list[tuple[int, int]] = []
+        for d, t in [*sorted(voted[at:end], key=lambda v: v[0] - v[1]), (None, None)]:
+            if chain and (d is None or d - t - (chain[-1][0] - chain[-1][1]) > apart):
+                share = len({x for _, x in chain}) / runs
+                if share >= least:
+                    found.add((min(x for x, _ in chain), max(x for x, _ in chain), share))
+                chain = []
+            chain.append((d, t))
+    kept: list[tuple[int, int, float]] = []
+    for first, last, share in sorted(found, key=lambda x: (-x[2], x[1] - x[0], x[0])):
+        if all(last < x[0] or first > x[1] for x in kept):
+            kept.append((first, last, share))
+    return kept
+
+
+def spans(found: DataFrame, least: float = LEAST) -> DataFrame:
+    """Verified spans: keys, ``base``, ``label``, ``first_word``, ``last_word`` (start of the last run), ``share`` of the template's runs."""
+    # A phrase must stand whole, on one diagonal; the method's templates may have words put in or left out.
     span = ["key_id", "key_text", "base", "template", "label", "runs"]
-    diagonals = found.groupBy(*span, (F.col("d") - F.col("t")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("high"), F.collect_set("t").alias("ts")
-    )
-    # A phrase must stand whole; the method's templates may have words put in or left out.
-    ordered = Window.partitionBy("key_id", "key_text", "base", "template").orderBy("diagonal")
-    far = F.col("diagonal") - F.lag("diagonal").over(ordered) > F.when(F.col("base"), 0).otherwise(apart)
-    marked = diagonals.withColumn("_new", F.coalesce(far, F.lit(True)).cast("int"))
-    grouped = marked.withColumn("_span", F.sum("_new").over(ordered))
-    merged = grouped.groupBy(*span, "_span").agg(
-        F.min("low").alias("first_word"),
-        F.max("high").alias("last_word"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("covered"),
+    diagonal = F.when(F.col("base"), F.col("d") - F.col("t")).alias("diagonal")
+    voted = found.groupBy(*span, diagonal).agg(
+        F.collect_list("d").alias("ds"), F.collect_list("t").alias("ts"), F.size(F.collect_set("t")).alias("covered")
     )
-    return merged.withColumn("share", F.col("covered") / F.col("runs")).drop("_span")
+    share = F.col("covered") / F.col("runs")
+    voted = voted.filter(share >= F.when(F.col("base"), 1.0).otherwise(least))
+
+    @F.pandas_udf("array<struct<first_word: int, last_word: int, share: double>>")
+    def verified(ds: pd.Series, ts: pd.Series, runs: pd.Series, base: pd.Series) -> pd.Series:
+        out = []
+        for d, t, n, phrase in zip(ds, ts, runs, base, strict=True):
+            rows = [(int(d.min()), int(d.max()), 1.0)] if phrase else chained(list(zip(d.tolist(), t.tolist(), strict=True)), n, least)
+            out.append([dict(zip(("first_word", "last_word", "share"), row, strict=True)) for row in rows])
+        return pd.Series(out, dtype=object)
+
+    rows = voted.select("key_id", "key_text", "base", "label", F.explode(verified("ds", "ts", "runs", "base")).alias("s"))
+    return rows.select("key_id", "key_text", "base", "label", "s.*")
 
 
 def scan(
@@ -115,10 +147,8 @@ def scan(
     """
     spark = docs.sparkSession
     places = template_places(spark, phrases, True, RUN).unionByName(template_places(spark, templates, False, RUN))
-    found = spans(votes(docs, places, id_column, text_column, RUN))
-    whole = F.col("base") & (F.col("covered") == F.col("runs"))
-    near = ~F.col("base") & (F.col("share") >= least) & (F.col("last_word") - F.col("first_word") < 2 * F.col("runs"))
-    return found.filter(whole | near)
+    small_batches(spark)
+    return spans(votes(docs, places, id_column, text_column, RUN), least)
 
 
 def licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

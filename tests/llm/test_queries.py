@@ -107,6 +107,17 @@ def test_shuffle_depends_on_rows_alone(spark, tiny):
     assert set(sharding.shard(docs).collect()) == set(sharding.shard(docs.repartition(7).orderBy(F.rand())).collect())
 
 
+def test_template_beside_stray_runs(spark):
+    listed = " ".join(f"name{i} MIT License" for i in range(40))
+    notice = "Released under the MIT License"
+    texts = [listed, f"{listed} {notice} {listed}", f"{notice} {listed}", "Released under the new MIT License", f"{notice}. {LINE} {notice}."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.licenses(docs).collect()}
+    assert found == {0: ("", 0.0), 1: ("mit", 1.0), 2: ("mit", 1.0), 3: ("", 0.0), 4: ("mit", 1.0)}
+    spans = [(r["first_word"], r["last_word"]) for r in licenses.scan(docs.filter("doc_id = 1")).filter("NOT base").collect()]
+    assert spans == [(120, 123)]
+
+
 def test_sql(spark, tiny):
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tiny}/pages.parquet'")
