@@ -13,6 +13,7 @@ from tablegrade.llm.licenses import op7_license_scans
 from tablegrade.llm.lsh_forest import op3_ngram_jaccard_join
 from tablegrade.llm.packing import op10_packing
 from tablegrade.llm.quality import op4_quality_rules
+from tablegrade.llm.runs import op13_periodic_runs
 from tablegrade.llm.sharding import op9_sharding
 from tablegrade.llm.toxicity import op2_toxicity
 from tablegrade.llm.urls import OP1_SQL, op1_url_filters
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_sharding,
         op10_packing,
+        op13_periodic_runs,
     )
 }
 
