@@ -15,6 +15,7 @@ from tablegrade.llm.packing import op10_packing
 from tablegrade.llm.quality import op4_quality_rules
 from tablegrade.llm.runs import op13_periodic_runs
 from tablegrade.llm.sharding import op9_sharding
+from tablegrade.llm.token_files import op12_token_files
 from tablegrade.llm.toxicity import op2_toxicity
 from tablegrade.llm.urls import OP1_SQL, op1_url_filters
 
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_sharding,
         op10_packing,
+        op12_token_files,
         op13_periodic_runs,
     )
 }
