@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablegrade.llm.conversations import op11_conversation_repair
 from tablegrade.llm.decontamination import op5_benchmark_decontamination
 from tablegrade.llm.html_text import op8_html_extraction
 from tablegrade.llm.language import op6_language_id
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_sharding,
         op10_packing,
+        op11_conversation_repair,
         op12_token_files,
         op13_periodic_runs,
     )
