@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections import defaultdict
 from collections.abc import Iterable
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,11 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tablegrade.functions.expressions import clean_check, full_name, is_filled, stripped
-from tablegrade.functions.text import sql_name, sql_text
-from tablegrade.operators.profile import Tables, as_text, fold, union_all
+from tablegrade.functions.text import sql_name, sql_struct, sql_text
+from tablegrade.operators.profile import Tables, as_text, fold, name_parts, union_all
 from tablegrade.schemas import TABLE_KEYS
 from tablegrade.sources.local import local_frame
+from tablegrade.sources.state_files import stored_once
 
 log = logging.getLogger(__name__)
 
@@ -168,6 +170,10 @@ def render_checks(checks: DataFrame, per_document: int = 1_000) -> DataFrame:
 
 # --- evaluation ---------------------------------------------------------------------------------
 
+#: The most counts of one aggregate, and the most values that a check in it lists. What exceeds them is joined.
+COUNTS_AT_ONCE = 200
+LISTED_AT_ONCE = 1_000
+
 _SIGNATURE = ["metric", "argument", "valid_values", "invalid_regex"]
 _VALUES = T.StructType(
     [T.StructField(k, T.StringType()) for k in [*TABLE_KEYS, "signature"]]
@@ -187,12 +193,14 @@ def _compiles(spark: SparkSession, patterns: list[str]) -> bool:
         return False
 
 
-def _known_patterns(spark: SparkSession, patterns: Iterable[str]) -> set[str]:
-    """The patterns Spark can compile; all at once if all can, else one by one."""
-    wanted = sorted(set(patterns))
-    if not wanted or _compiles(spark, wanted):
-        return set(wanted)
-    return {p for p in wanted if _compiles(spark, [p])}
+def _bad_patterns(spark: SparkSession, patterns: Iterable[str]) -> set[str]:
+    """The patterns that Spark can't compile. They are tried in groups, and those of a bad group one by one."""
+    bad: set[str] = set()
+    patterns = iter(patterns)
+    while group := list(islice(patterns, COUNTS_AT_ONCE)):
+        if not _compiles(spark, group):
+            bad |= {p for p in group if not _compiles(spark, [p])}
+    return bad
 
 
 def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: str | None) -> str:
@@ -208,7 +216,7 @@ def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: st
         return f"count_if(cast({column} as string) rlike {sql_text(regex)})"
     if not valid:
         return f"count({column})"
-    plain = isinstance(field.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType))
+    plain = _is_plain(field)
     kind = "string" if plain else field.dataType.simpleString()
     listed = ", ".join(f"try_cast({sql_text(v)} as {kind})" for v in valid)
     value = as_text(field) if plain else column
@@ -218,34 +226,43 @@ def _count(field: T.StructField, metric: str, valid: list[str] | None, regex: st
 def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> DataFrame:
     """Run all checks on the monitored tables: one row per check with its value and outcome.
 
-    Only the distinct things to count (metric, column, values or pattern) come to the driver, as they
-    are the text of the query; each table is then scanned once for all of them, reading the checked
-    columns only, and the counts are joined back to however many checks use them. Checks of tables
-    that are not in ``tables`` are left out, as nothing was run for them.
+    Checks of tables that are not in ``tables`` are left out, as nothing was run for them. What is to be counted (metric,
+    column, values or pattern) is counted once for however many checks use it, in one of two ways:
+
+    * up to ``COUNTS_AT_ONCE`` things of a table come to the driver, as they are the text of one aggregate, which
+      scans the checked columns once;
+    * the others stay rows. One scan folds the columns concerned to their different values with counts, and things are joined to
+      those: listed values by equality, and each pattern looks at each different value once.
     """
-    parsed = parse_checks(checks).where(full_name().isin(list(tables)))
+    parsed = parse_checks(checks).join(F.broadcast(_open_names(spark, tables)), TABLE_KEYS, "left_semi")
     parsed = parsed.withColumn(
         "signature", F.when(F.col("readable"), F.to_json(F.struct(*_SIGNATURE)))
     )
-    wanted = (
-        parsed.where("readable").select(full_name().alias("name"), "signature", *_SIGNATURE).distinct()
-    ).collect()
-    patterns = _known_patterns(spark, (w["invalid_regex"] for w in wanted if w["invalid_regex"]))
-
+    things = parsed.where("readable").select(*TABLE_KEYS, "signature", *_SIGNATURE).distinct()
+    small = F.coalesce(F.size("valid_values"), F.lit(0)) <= LISTED_AT_ONCE
+    wanted = things.where(small).limit(COUNTS_AT_ONCE + 1).collect()
+    many = None
+    if len(wanted) > COUNTS_AT_ONCE:
+        things = stored_once(things)
+        counts = things.where(small).groupBy(*TABLE_KEYS).agg(F.count("*").alias("n"))
+        few = counts.where(F.col("n") <= COUNTS_AT_ONCE).select(*TABLE_KEYS)
+        wanted = things.where(small).join(few, TABLE_KEYS, "left_semi").collect()
+        many = things.where(small).join(few, TABLE_KEYS, "left_anti").unionByName(things.where(~small))
+    elif not things.where(~small).isEmpty():
+        many = things.where(~small)
+
+    bad = _bad_patterns(spark, {w["invalid_regex"] for w in wanted if w["invalid_regex"] is not None})
     by_table = defaultdict(list)
     for w in wanted:
-        by_table[w["name"]].append(w)
+        by_table[".".join(w[k] for k in TABLE_KEYS)].append(w)
     counted = []
     for name, table in tables.items():
         fields = {f.name.lower(): f for f in table.schema}
-        todo = [
-            w
-            for w in by_table[name]
-            if w["argument"].lower() in fields
-            and (w["invalid_regex"] is None or w["invalid_regex"] in patterns)
-        ]
+        todo = [w for w in by_table[name] if w["argument"].lower() in fields and w["invalid_regex"] not in bad]
         if todo:
             counted.append(_counts(name, table, fields, todo))
+    if many is not None:
+        counted.append(_joined_counts(spark, stored_once(many), tables))
     values = union_all(counted)
     if values is None:
         values = local_frame(spark, [], _VALUES)
@@ -266,6 +283,102 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
     )
 
 
+def _open_names(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The names of the open tables."""
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in TABLE_KEYS])
+    return local_frame(spark, [tuple(name_parts(name)) for name in tables], schema)
+
+
+def _is_plain(field: T.StructField) -> bool:
+    """Whether a column's values are compared as text."""
+    return isinstance(field.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType))
+
+
+def _in_kind(text: str, field: T.StructField) -> str:
+    """SQL for a text as the column would show it; null if it doesn't fit the column's type."""
+    if _is_plain(field):
+        return text
+    kind = field.dataType.simpleString()
+    fraction = isinstance(field.dataType, (T.FloatType, T.DoubleType))
+    # adding zero makes minus zero zero, which it equals
+    value = f"try_cast({text} as {kind})" + f" + cast(0 as {kind})" * fraction
+    return f"cast({value} as string)"
+
+
+def counted_values(name: str, table: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """The different values of some columns with their counts, from one scan that folds before it shuffles.
+
+    ``value`` is the text that values are compared by; ``shown`` is the column cast to text where that differs.
+    """
+    keys = {k: sql_text(part) for k, part in zip(TABLE_KEYS, name_parts(name))}
+    cells = []
+    for field in fields:
+        shown = f"cast({sql_name(field.name)} as string)"
+        value = as_text(field) if _is_plain(field) else _in_kind(sql_name(field.name), field)
+        cells.append(sql_struct(**keys, argument=sql_text(field.name.lower()), value=value, shown=f"nullif({shown}, {value})"))
+    rows = table.selectExpr(f"inline(array({', '.join(cells)}))")
+    return rows.groupBy(*TABLE_KEYS, "argument", "value", "shown").agg(F.count("*").alias("n"))
+
+
+def _joined_counts(spark: SparkSession, things: DataFrame, tables: Tables) -> DataFrame:
+    """The value of each thing to count, by joins with the counted values of its column.
+
+    Only the columns that are asked for, and patterns that can't be compiled, come to the driver.
+    """
+    things = things.withColumn("argument", F.lower("argument"))
+    asked = defaultdict(set)
+    known = F.broadcast(_open_columns(spark, tables))
+    for row in things.select(*TABLE_KEYS, "argument").distinct().join(known, [*TABLE_KEYS, "argument"], "left_semi").collect():
+        asked[".".join(row[k] for k in TABLE_KEYS)].add(row["argument"])
+    frames, kinds = [], {}
+    for name, columns in asked.items():
+        fields = [f for f in tables[name].schema if f.name.lower() in columns]
+        frames.append(counted_values(name, tables[name], fields))
+        kinds |= {(*name_parts(name), f.name.lower()): _in_kind("listed", f) for f in fields}
+    if not frames:
+        return local_frame(spark, [], _VALUES)
+    values = stored_once(union_all(frames))
+    column = [*TABLE_KEYS, "argument"]
+    thing = [*TABLE_KEYS, "signature"]
+
+    patterns = things.where("invalid_regex is not null").select("invalid_regex").distinct()
+    bad = _bad_patterns(spark, (row["invalid_regex"] for row in patterns.toLocalIterator()))
+    if bad:
+        things = things.where(F.col("invalid_regex").isNull() | ~F.col("invalid_regex").isin(bad))
+
+    shown = F.coalesce("shown", "value")
+    met = things.where("invalid_regex is not null").join(values.where("value is not null"), column)
+    met = met.where(F.rlike(shown, F.col("invalid_regex"))).groupBy(*thing).agg(F.sum("n").alias("met"))
+
+    ways = sorted(set(kinds.values()))
+    rows = [(*key, ways.index(way)) for key, way in kinds.items()]
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in column]).add("way", T.IntegerType())
+    in_kind = F.expr("case way " + " ".join(f"when {i} then {way}" for i, way in enumerate(ways)) + " end")
+    listed = things.join(F.broadcast(local_frame(spark, rows, schema)), column).select(*column, "signature", "way", F.explode("valid_values").alias("listed"))
+    listed = listed.select(*column, "signature", in_kind.alias("value")).where("value is not null").distinct()
+    known = listed.join(values, [*column, "value"]).groupBy(*thing).agg(F.sum("n").alias("known"))
+
+    filled = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    missing = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
+    totals = local_frame(spark, [key for key in kinds], T.StructType(schema.fields[:-1])).join(
+        values.groupBy(*column).agg(filled.alias("filled"), missing.alias("missing")), column, "left"
+    )
+    count = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
+    value = (
+        F.when(F.col("metric") == MISSING, count("missing"))
+        .when(F.col("invalid_regex").isNotNull(), count("met"))
+        .otherwise(count("filled") - count("known"))
+    )
+    found = things.join(totals, column).join(known, thing, "left").join(met, thing, "left")
+    return found.select(*TABLE_KEYS, "signature", value.alias("value"))
+
+
+def _open_columns(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The columns of the open tables, in lower case as ``argument``."""
+    rows = [(*name_parts(name), field.name.lower()) for name, table in tables.items() for field in table.schema]
+    return local_frame(spark, rows, T.StructType([T.StructField(k, T.StringType()) for k in [*TABLE_KEYS, "argument"]]))
+
+
 def _counts(name: str, table: DataFrame, fields: dict, todo: list) -> DataFrame:
     """All counts of one table from one scan, labelled by signature."""
     cells = {

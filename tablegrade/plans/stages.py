@@ -7,12 +7,15 @@ frames to the next stage.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from datetime import datetime
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegrade.functions.expressions import full_name
 from tablegrade.operators.checks import check_rollup, evaluate_checks
@@ -24,6 +27,7 @@ from tablegrade.operators.profile import (
     at_once,
     column_counts,
     low_cardinality,
+    name_parts,
     union_all,
     update_low_cardinality_tags,
 )
@@ -46,6 +50,8 @@ from tablegrade.schemas import (
     TAG_COMMENT,
     UNSEEDED_SCHEMAS,
 )
+from tablegrade.sources.catalog import open_tables
+from tablegrade.sources.local import local_frame
 from tablegrade.sources.state_files import stored_once
 
 
@@ -53,16 +59,71 @@ from tablegrade.sources.state_files import stored_once
 TABLES_AT_ONCE = 200
 
 
-def in_batches(tables: Tables, run: Callable[[Tables], DataFrame]) -> DataFrame:
+@dataclass(frozen=True)
+class Failure:
+    """A table that a stage could not work on."""
+
+    table: str
+    stage: str
+    error: str
+
+
+def failure_rows(spark: SparkSession, failures: list[Failure]) -> DataFrame:
+    """The failures as rows ``(table, stage, error)``."""
+    rows = [(*name_parts(f.table), f.stage, f.error) for f in failures]
+    kinds = [T.StructField(k, T.StringType()) for k in [*TABLE_KEYS, "stage", "error"]]
+    return local_frame(spark, rows, T.StructType(kinds))
+
+
+def open_readable(spark: SparkSession, names: Iterable[str], failures: list[Failure]) -> dict[str, DataFrame]:
+    """The monitored tables that the catalog can open; the others are added to ``failures``."""
+    opened: dict[str, DataFrame] = {}
+    for name in names:
+        try:
+            opened |= open_tables(spark, [name])
+        except PySparkException as error:
+            failures.append(Failure(name, "open", _reason(error)))
+    return opened
+
+
+def _reason(error: Exception) -> str:
+    """The first line of an error that says something."""
+    return next((line.strip() for line in str(error).splitlines() if line.strip()), type(error).__name__)
+
+
+def in_batches(
+    tables: Tables,
+    run: Callable[[Tables], DataFrame],
+    failures: list[Failure] | None = None,
+    stage: str = "",
+) -> DataFrame:
     """What ``run`` gives for all tables, a limited number of tables per plan.
 
-    With more than one batch each result is stored, so that no plan grows with the catalog.
+    With more than one batch each result is stored, so that no plan grows with the catalog. With ``failures``
+    every batch is stored, and one that fails is halved until the tables that fail stand alone; those are added to
+    ``failures`` and give no rows. If all tables fail, the last error is raised.
     """
     names = list(tables)
     batches = [names[i : i + TABLES_AT_ONCE] for i in range(0, len(names), TABLES_AT_ONCE)]
-    if len(batches) <= 1:
+    if failures is None and len(batches) <= 1:
         return run(tables)
-    return union_all([stored_once(run({n: tables[n] for n in batch})) for batch in batches])
+    done, left, failed = [], batches[::-1], 0
+    while left:
+        batch = left.pop()
+        try:
+            done.append(stored_once(run({n: tables[n] for n in batch})))
+        except (PySparkException, Py4JError) as error:
+            if failures is None:
+                raise
+            if len(batch) > 1:
+                half = len(batch) // 2
+                left += [batch[half:], batch[:half]]
+                continue
+            failures.append(Failure(batch[0], stage, _reason(error)))
+            failed += 1
+            if failed == len(names) > 1:
+                raise
+    return union_all(done) if done else run({})
 
 
 @dataclass(frozen=True)
@@ -99,17 +160,23 @@ def thresholds_of(config: DataFrame, tables: Tables) -> dict[str, int]:
 
 
 def enrich(
-    spark: SparkSession, tables: Tables, config: DataFrame, state: ColumnState
+    spark: SparkSession,
+    tables: Tables,
+    config: DataFrame,
+    state: ColumnState,
+    failures: list[Failure] | None = None,
 ) -> tuple[ColumnState, DataFrame]:
     """Reconcile checks and tags, tag low-cardinality columns, and describe pending columns.
 
+    With ``failures``, tables that cannot be read are added there and keep their tags; else they fail the stage.
+
     Returns the new state and the profile, which the next stage needs too. The profile and the tags
     are used several times and rest on scans of the data, so they are stored once each.
     """
     checks, tags = reconcile_check_tags(state.tags, state.checks, state.columns, config)
     limits = thresholds_of(config, tables)
     profile = stored_once(
-        in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags))
+        in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags), failures, "enrich")
     )
     before, tags = tags, stored_once(update_low_cardinality_tags(profile, tags))
     pending = in_scope(pending_columns(state.columns, tags, TAG_COMMENT), config)
@@ -119,7 +186,11 @@ def enrich(
 
 
 def suggest(
-    tables: Tables, profile: DataFrame, config: DataFrame, state: ColumnState
+    tables: Tables,
+    profile: DataFrame,
+    config: DataFrame,
+    state: ColumnState,
+    failures: list[Failure] | None = None,
 ) -> ColumnState:
     """Generate checks for the columns without any, and tag those columns.
 
@@ -136,7 +207,7 @@ def suggest(
         return state
     columns = {name: sorted(found) for name, found in asked.items()}
     pending_tables = {name: tables[name] for name in columns}
-    counts = in_batches(pending_tables, lambda some: column_counts(some, columns))
+    counts = in_batches(pending_tables, lambda some: column_counts(some, columns), failures, "suggest")
     drafts = stored_once(suggest_checks(profile, counts))
     marks = drafts.select(*COLUMN_KEYS, F.lit(TAG_CHECK).alias("tag_name"))
     return replace(
@@ -163,6 +234,7 @@ def graded_metrics(
     facts: TableFacts,
     state: ColumnState,
     as_of: datetime | str,
+    failures: list[Failure] | None = None,
 ) -> DataFrame:
     """All metrics of all configured tables as ``(table, metric, value)`` rows.
 
@@ -182,7 +254,8 @@ def graded_metrics(
     past = past_columns(facts.history, facts.schema_versions, config, as_of)
     drift = schema_drift(in_scope(state.columns, past.select(*TABLE_KEYS).distinct()), past)
     checks = in_scope(state.checks, config)
-    passed = check_rollup(in_batches(tables, lambda some: evaluate_checks(spark, checks, some)))
+    evaluated = in_batches(tables, lambda some: evaluate_checks(spark, checks, some), failures, "grade")
+    passed = check_rollup(evaluated)
     return union_all(
         [
             metric_rows(
@@ -217,11 +290,13 @@ def grade(
     state: ColumnState,
     summary: DataFrame,
     as_of: datetime | str,
+    failures: list[Failure] | None = None,
 ) -> DataFrame:
     """The summary with this run's metrics of every configured table, from a single upsert.
 
-    The metric rows rest on scans of the data, so they are stored once before they are merged.
+    The metric rows rest on scans of the data, so they are stored once before they are merged. With ``failures``, tables whose
+    checks cannot be run are added there and keep their earlier outcome; else they fail the stage.
     """
-    rows = stored_once(graded_metrics(spark, tables, config, facts, state, as_of))
+    rows = stored_once(graded_metrics(spark, tables, config, facts, state, as_of, failures))
     return upsert_summary(summary, rows)
 

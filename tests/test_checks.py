@@ -77,7 +77,11 @@ def outcomes(spark, table, *rows, name="t"):
     return {r["check_id"]: (r["value"], r["outcome"]) for r in results.collect()}
 
 
-def test_outcomes(spark):
+@pytest.mark.parametrize("at_once", [200, 14, 0])
+def test_outcomes(spark, monkeypatch, at_once):
+    """The same outcomes whether things are counted by one aggregate or joined to counted values."""
+    monkeypatch.setattr(checks, "COUNTS_AT_ONCE", at_once)
+    monkeypatch.setattr(checks, "_bad_patterns", lambda spark, patterns: {p for p in patterns if p == "("})
     table = spark.createDataFrame([(1, "a", 1.5), (2, "b", 2.0), (None, "b", None), (4, None, -0.0)], "i int, s string, d double")
     assert outcomes(
         spark,
@@ -116,6 +120,55 @@ def test_outcomes(spark):
     }
 
 
+KINDS = """select * from values
+  (true, 1.50bd, date'2024-01-02', timestamp_ntz'2024-01-02 03:04:05', array(1, 2), map('k', 1), float(0.1), 'x'),
+  (false, 2.00bd, date'2024-02-03', timestamp_ntz'2024-01-02 03:04:05.6', array(3), map('k', 2), float(-0.0), ' x '),
+  (null, null, null, null, null, null, null, null), (true, 1.50bd, null, null, array(), map(), float('nan'), '')
+  as t(b, m, d, t, a, k, f, s)"""
+
+
+def test_joined_values_compare_as_in_an_aggregate(spark, monkeypatch):
+    listed = {
+        "b": "[TRUE, 0]", "m": "[1.5, 2.0]", "d": "[2024-01-02, x]", "t": "['2024-01-02 03:04:05.600']", "a": "['[1,2]', '[]']",
+        "k": "['k']", "f": "[0, NaN, 0.1]", "s": "['', ' x ']",
+    }
+    rows = [f"invalid_count({c}) = 0:\n valid values: {v}" for c, v in listed.items()]
+    rows += [f"invalid_count({c.upper()}) = 0:\n invalid regex: [1x]" for c in listed] + [f"missing_count({c}) = 0" for c in listed]
+    wanted = outcomes(spark, spark.sql(KINDS), *rows)
+    assert len({v for v, _ in wanted.values()}) > 2
+    monkeypatch.setattr(checks, "COUNTS_AT_ONCE", 1)
+    monkeypatch.setattr(checks, "_bad_patterns", lambda spark, patterns: set())
+    assert outcomes(spark, spark.sql(KINDS), *rows) == wanted
+    assert outcomes(spark, spark.sql(KINDS).limit(0), *rows) == dict.fromkeys(range(1, 25), (0, "pass"))
+
+
+def test_very_many_checks_of_one_column(spark):
+    """No aggregate grows with the checks, and one scan serves them all."""
+    data = spark.range(5_000).selectExpr("id % 1000 as v")
+    stored = spark.range(3_000).selectExpr(
+        "id as check_id", "'c' as catalog_name", "'s' as schema_name", "'t' as table_name", "'v' as column_name",
+        "concat('invalid_count(v) = 4995:\n valid values: [', id % 1500, ']') as check",
+    )
+    found = checks.evaluate_checks(spark, stored, {"c.s.t": data})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert max(len(line) for line in plan.splitlines()) < 5_000 and plan.count("count_if") == 0
+    values = {r["check_id"]: (r["value"], r["outcome"]) for r in found.collect()}
+    assert values == {i: (4_995, "pass") if i % 1500 < 1000 else (5_000, "fail") for i in range(3_000)}
+
+
+def test_a_check_of_very_many_values(spark):
+    values = ", ".join(map(str, range(2_000)))
+    assert outcomes(spark, spark.range(2_500), f"invalid_count(id) = 0:\n valid values: [{values}]", "missing_count(id) = 0") == {
+        1: (500, "fail"), 2: (0, "pass"),
+    }
+
+
+def test_bad_patterns_are_found_among_many(spark, monkeypatch):
+    monkeypatch.setattr(checks, "COUNTS_AT_ONCE", 3)
+    assert checks._bad_patterns(spark, ["a", "b", "(", "c", "d", "e", "["]) == {"(", "["}
+    assert checks._bad_patterns(spark, []) == set()
+
+
 def test_checks_of_tables_that_are_not_open_are_left_out(spark):
     assert outcomes(spark, spark.range(1), "missing_count(id) = 0", name="other") == {}
     assert outcomes(spark, spark.range(1)) == {}

@@ -117,3 +117,40 @@ def test_a_failing_check_costs_points(spark):
 def test_thresholds(spark):
     rows = frame(spark, "_id bigint, low_cardinality_threshold int", ("orders", 1, 5), ("orders", 2, 7), ("other", 3, 9))
     assert stages.thresholds_of(rows, catalog_of(spark)) == {"c.s.orders": 7, "c.s.notes": 10}
+
+
+def test_a_failing_table_costs_one_table(spark, monkeypatch):
+    """A table that cannot be read keeps its earlier outcome and is named; the others are graded."""
+    tables = {f"c.s.t{i}": spark.range(10).selectExpr("id") for i in range(9)}
+    state = stages.ColumnState(
+        columns_of(spark, tables),
+        spark.createDataFrame([], COLUMN_TAGS),
+        frame(spark, "check_id bigint, column_name string, check string, tag string", *[(f"t{i}", i, "id", "missing_count(id) = 0", None) for i in range(9)]),
+    )
+    config = stages.seed(
+        spark.createDataFrame([], DQ_CONFIG), spark.createDataFrame([("c", "s")], ["catalog_name", "schema_name"]),
+        frame(spark, "", *[(f"t{i}",) for i in range(9)]),
+    )
+    before = stages.grade(spark, tables, config, facts(spark), state, spark.createDataFrame([], DQ_SUMMARY), NOW)
+    broken = tables | {f"c.s.t{i}": spark.range(10).selectExpr("if(id < 0, id, raise_error('no such file')) as id") for i in (2, 7)}
+    monkeypatch.setattr(stages, "TABLES_AT_ONCE", 5)
+    failures: list[stages.Failure] = []
+    enriched, _ = stages.enrich(spark, broken, config, state, failures)
+    assert [(f.table, f.stage) for f in failures] == [("c.s.t2", "enrich"), ("c.s.t7", "enrich")]
+    failures.clear()
+    after = stages.grade(spark, broken, config, facts(spark), state, before, NOW, failures)
+    passed = by_table(after, "has_check_passed")
+    assert passed == {f"t{i}": True for i in range(9)}
+    rows = stages.failure_rows(spark, failures).collect()
+    assert [(r["table_name"], r["stage"]) for r in rows] == [("t2", "grade"), ("t7", "grade")]
+    assert all("no such file" in r["error"] for r in rows)
+    empty = stages.grade(spark, broken, config, facts(spark), state, spark.createDataFrame([], DQ_SUMMARY), NOW, [])
+    assert {t for t, value in by_table(empty, "has_check_passed").items() if not value} == {"t2", "t7"}
+
+
+def test_tables_that_cannot_be_opened(spark):
+    spark.range(3).createOrReplaceTempView("opened_view")
+    failures: list[stages.Failure] = []
+    assert stages.open_readable(spark, ["opened_view", "spark_catalog.default.absent"], failures).keys() == {"opened_view"}
+    assert [(f.table, f.stage) for f in failures] == [("spark_catalog.default.absent", "open")]
+    assert stages.failure_rows(spark, failures).count() == 1
