@@ -132,42 +132,65 @@ def check_lines(definition: Column) -> Column:
     return F.array_join(F.concat(F.array(first), others), "\n")
 
 
-def render_checks(checks: DataFrame, per_document: int = 1_000) -> DataFrame:
-    """The checks of every table as documents, in order of ``check_id``.
-
-    A table with more than ``per_document`` checks gets several documents, numbered by ``part``, each
-    complete with its header and holding a run of ids. Runs are formed from counts per id range, which
-    are folded before they are shuffled; the checks themselves are only ever grouped by range, so no
-    group of different ids holds more than ``per_document`` stored texts. Checks without an id come
-    first, in runs by a hash of their text. Tables without a filled check get no document.
+def render_checks(checks: DataFrame, per_document: int | None = None) -> DataFrame:
+    """The checks of every table as one document, in order of ``check_id``; checks without an id come first.
+
+    With ``per_document``, a table with more checks gets several documents, numbered by ``part``, each complete with its
+    header and holding a run of ids. Runs are formed from counts per id range, which are folded before they are
+    shuffled, so no group of different ids holds more than ``per_document`` stored texts. Tables without a filled check get no
+    document. A document is one value here; :func:`write_documents` writes documents of any size.
     """
-    by_text = -1 - F.pmod(F.xxhash64("column_name", "check"), F.lit(1_000))
-    ranges = F.coalesce(F.floor(F.col("check_id") / F.lit(per_document)), by_text).cast("bigint")
-    items = split_checks(checks).select(
-        *TABLE_KEYS, "check_id", "item", "definition", ranges.alias("range")
-    )
-    before = W.partitionBy(*TABLE_KEYS).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    parts = (
-        items.groupBy(*TABLE_KEYS, "range")
-        .agg(F.count("*").alias("n"))
-        .withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .select(*TABLE_KEYS, "range", F.floor(F.col("seen") / per_document).cast("bigint").alias("part"))
-    )
+    items = split_checks(checks).select(*TABLE_KEYS, "check_id", "item", "definition", "column_name", "check")
+    if per_document is None:
+        parted = items.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        parted = _in_parts(items, per_document)
     entry = F.struct("check_id", "item", check_lines(F.col("definition")).alias("text"))
     texts = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"])
-    header = F.concat(F.lit("checks for "), full_name(), F.lit(":"))
     return (
-        items.join(parts, [*TABLE_KEYS, "range"])
-        .groupBy(*TABLE_KEYS, "part")
+        parted.groupBy(*TABLE_KEYS, "part")
         .agg(texts.alias("texts"))
         .select(
             *TABLE_KEYS,
             "part",
-            F.array_join(F.concat(F.array(header), F.col("texts")), "\n").alias("yaml_content"),
+            F.array_join(F.concat(F.array(_header()), F.col("texts")), "\n").alias("yaml_content"),
         )
     )
 
 
+def _header() -> Column:
+    return F.concat(F.lit("checks for "), full_name(), F.lit(":"))
+
+
+def _in_parts(items: DataFrame, per_document: int) -> DataFrame:
+    """The checks with the number of the document that each belongs to."""
+    by_text = -1 - F.pmod(F.xxhash64("column_name", "check"), F.lit(1_000))
+    ranges = F.coalesce(F.floor(F.col("check_id") / F.lit(per_document)), by_text).cast("bigint")
+    items = items.withColumn("range", ranges)
+    before = W.partitionBy(*TABLE_KEYS).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    parts = (
+        items.groupBy(*TABLE_KEYS, "range")
+        .agg(F.count("*").alias("n"))
+        .withColumn("seen", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .select(*TABLE_KEYS, "range", F.floor(F.col("seen") / per_document).cast("bigint").alias("part"))
+    )
+    return items.join(parts, [*TABLE_KEYS, "range"])
+
+
+def write_documents(checks: DataFrame, folder: str) -> None:
+    """Write the checks of every table as text below ``folder``, one folder ``document=<table>`` per table.
+
+    Lines are sorted over all partitions by table, id and place, and written as they come, so no document is ever held as
+    a whole. One that spans partitions is several files, whose names are in its order.
+    """
+    items = split_checks(checks).select(full_name().alias("document"), F.lit(1).alias("body"), "check_id", "item", check_lines(F.col("definition")).alias("value"))
+    headers = checks.where(is_filled("check")).select(full_name().alias("document"), _header().alias("value")).distinct()
+    headers = headers.select("document", F.lit(0).alias("body"), F.lit(None).cast("bigint").alias("check_id"), F.lit(0).alias("item"), "value")
+    order = ["document", "body", "check_id", "item", "value"]
+    lines = headers.unionByName(items).repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select("document", "value").write.partitionBy("document").text(folder)
+
+
 # --- evaluation ---------------------------------------------------------------------------------
 
 #: The most counts of one aggregate, and the most values that a check in it lists. What exceeds them is joined.

@@ -32,10 +32,25 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: str | Column) -> Dat
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
+#: An optional column of changes: later changes of a key have a higher number, and the last one counts.
+CHANGE_NUMBER = "change_number"
+
+
 def settled(changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """One row per key. Equal changes count once; changes of one key that differ fail the job."""
+    """One row per key: its last change by ``change_number``, where the changes have that column (null is before all).
+
+    Equal changes count once. Changes of one key that differ and have the same number, or none, fail the job. All is folded
+    before it is shuffled, so a key may have any number of changes.
+    """
     row = F.struct(*columns)
-    folded = changes.groupBy(*keys).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    number = F.lit(None)
+    if CHANGE_NUMBER in changes.columns:
+        number = F.col(CHANGE_NUMBER)
+    number = F.coalesce(number.cast("bigint"), F.lit(-(2**63)))
+    folded = changes.groupBy(*keys, number.alias("_number")).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    last = F.max_by(F.struct("_low", "_high"), "_number").alias("_last")
+    if CHANGE_NUMBER in changes.columns:
+        folded = folded.groupBy(*keys).agg(last).select(*keys, "_last.*")
     message = F.concat(F.lit("changes differ for "), F.to_json(F.struct(*keys)))
     one = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(F.raise_error(message))
     return folded.select(*keys, one.alias("_row")).select(*keys, "_row.*")
@@ -192,10 +207,12 @@ def _with_config_defaults(changes: DataFrame) -> DataFrame:
 
 
 def upsert_config(config: DataFrame, changes: DataFrame) -> DataFrame:
-    """Set the parameters of tables; values left out take their defaults, as for a new row."""
-    return upsert(
-        config, _with_config_defaults(changes), TABLE_KEYS, _CONFIG_VALUES, id_column="_id"
-    )
+    """Set the parameters of tables; values left out take their defaults, as for a new row.
+
+    Several changes of a table are settled first, so that it keeps one row.
+    """
+    changes = settled(_with_config_defaults(changes), TABLE_KEYS, _CONFIG_VALUES)
+    return upsert(config, changes, TABLE_KEYS, _CONFIG_VALUES, id_column="_id")
 
 
 def seed_config(config: DataFrame, tables: DataFrame) -> DataFrame:
@@ -239,9 +256,12 @@ def upsert_checks(checks: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def update_checks_by_id(checks: DataFrame, changes: DataFrame) -> DataFrame:
-    """Set text and tag of existing checks by id, schema, table and column; adds nothing."""
+    """Set text and tag of existing checks by id, schema, table and column; adds nothing.
+
+    Several changes of a check are settled first, so that it stays one row.
+    """
     keys = ["check_id", "schema_name", "table_name", "column_name"]
-    return update(checks, changes, keys, ["check", "tag"])
+    return update(checks, settled(changes, keys, ["check", "tag"]), keys, ["check", "tag"])
 
 
 def drop_checks(checks: DataFrame, ids: DataFrame) -> DataFrame:
@@ -269,8 +289,10 @@ def set_comments(
 ) -> tuple[DataFrame, DataFrame]:
     """Set column comments and mark those columns as described.
 
-    ``changes`` carries ``comment`` per column. Returns the new ``columns`` and ``column_tags``.
+    ``changes`` carries ``comment`` per column; several changes of a column are settled first. Returns the new
+    ``columns`` and ``column_tags``.
     """
+    changes = settled(changes, COLUMN_KEYS, ["comment"])
     described = update(columns, changes, COLUMN_KEYS, ["comment"])
     marks = changes.select(*COLUMN_KEYS, F.lit(TAG_COMMENT).alias("tag_name"))
     return described, set_tags(tags, marks)

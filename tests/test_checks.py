@@ -239,3 +239,21 @@ def test_checks_without_an_id_are_rendered(spark):
     rows = [("c", "s", "t", 1, "a", "missing_count(a) = 0"), ("c", "s", "t", None, "b", "missing_count(b) = 0")]
     rows = spark.createDataFrame(rows, "catalog_name string, schema_name string, table_name string, check_id long, column_name string, check string")
     assert checks.render_checks(rows).first()["yaml_content"].count("  - ") == 2
+
+
+def test_one_document_of_very_many_checks(spark, tmp_path):
+    rows = spark.range(2_500).selectExpr(
+        "id * 3 as check_id", "'c' as catalog_name", "'s' as schema_name", "if(id < 2400, 'hot', 'cold') as table_name", "'x' as column_name",
+        "concat('check ', id, '\n- more') as check",
+    )
+    found = {r["table_name"]: r["yaml_content"] for r in checks.render_checks(rows).collect()}
+    lines = [line for i in range(2_400) for line in (f"  - check {i}", "  - more")]
+    assert found["hot"].split("\n") == ["checks for c.s.hot:", *lines]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        checks.write_documents(rows.unionByName(rows.limit(1).selectExpr("* except (check)", "' ' as check")), f"{tmp_path}/docs")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "docs" / "document=c.s.hot").glob("part-*"))
+    assert len(files) > 1
+    assert "".join(f.read_text() for f in files).rstrip("\n") == found["hot"]

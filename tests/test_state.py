@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablegrade.operators import score, state
-from tablegrade.schemas import COLUMN_CHECKS, COLUMN_TAGS, DIMENSIONS, DQ_CONFIG, DQ_SUMMARY, METRICS
+from tablegrade.schemas import COLUMN_CHECKS, COLUMN_TAGS, COLUMNS, DIMENSIONS, DQ_CONFIG, DQ_SUMMARY, METRICS
 from tests.helpers import as_set, by_table, frame
 
 CONFIG = "low_cardinality_threshold int, freshness_window string, validity_window string, tag string"
@@ -197,3 +197,23 @@ def test_repeated_changes_count_once(spark):
     assert len({r["check_id"] for r in after}) == 5
     with pytest.raises(Exception, match="changes differ"):
         state.upsert_checks(stored, frame(spark, CHECKS, ("t", "a", "y", "g"), ("t", "a", "z", "g"))).collect()
+
+
+def test_several_changes_of_one_key(spark):
+    """The last numbered change counts; differing ones without a number, or with the same, fail the job."""
+    keys = {k: F.lit("x") for k in ("catalog_name", "schema_name", "table_name")}
+    rows = [(1, "a"), (3, "c"), (3, "c"), (2, "b"), (None, "z")]
+    numbered = spark.createDataFrame(rows, "change_number int, tag string").withColumns(keys)
+    config = state.upsert_config(empty(spark, DQ_CONFIG), numbered)
+    assert [r["tag"] for r in config.collect()] == ["c"]
+    again = state.upsert_config(config, numbered.withColumn("tag", F.lit("d"))).collect()
+    assert [(r["tag"], r["_id"]) for r in again] == [("d", config.first()["_id"])]
+    for differing in (numbered.drop("change_number"), numbered.withColumn("change_number", F.lit(1))):
+        with pytest.raises(Exception, match="changes differ"):
+            state.upsert_config(empty(spark, DQ_CONFIG), differing).collect()
+    stored = spark.createDataFrame([(1, "x", "x", "x", "v", "old", None)], COLUMN_CHECKS)
+    changes = numbered.select("*", F.lit(1).alias("check_id"), F.lit("v").alias("column_name"), F.col("tag").alias("check"))
+    assert [(r["check_id"], r["check"]) for r in state.update_checks_by_id(stored, changes).collect()] == [(1, "c")]
+    columns = spark.createDataFrame([("x", "x", "x", "v", "YES", "int", None)], COLUMNS)
+    described, tags = state.set_comments(columns, empty(spark, COLUMN_TAGS), changes.withColumnRenamed("check", "comment"))
+    assert [r["comment"] for r in described.collect()] == ["c"] and tags.count() == 1

@@ -437,6 +437,17 @@ def declared_checks(spark: SparkSession) -> DataFrame:
     )
 
 
+def order_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """One check for every order, on the column of their keys."""
+    return read(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("check_id"),
+        *table("lake", "main", F.lit("orders")),
+        F.lit("o_orderkey").alias("column_name"),
+        F.expr("concat('invalid_count(o_orderkey) > ', o_orderkey % 7, ':\\n  valid values: [', o_orderkey, ']')").alias("check"),
+        F.lit(None).cast("string").alias("tag"),
+    )
+
+
 def checked_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All test tables; ``l_quantity`` lacks its largest value, so that nulls exist."""
     tables = monitored(spark, folder)

@@ -592,6 +592,22 @@ sql(
     "",
     f"SELECT * EXCLUDE (n), CAST(n AS VARCHAR) AS failed_value_count FROM ({_check_rows()})",
 )
+sql(
+    "check_results_per_order",
+    "",
+    """SELECT 'lake.main.orders' AS table_name, o_orderkey AS check_id,
+  'invalid_count(o_orderkey) > ' || (o_orderkey % 7) AS check_name, n > o_orderkey % 7 AS is_passed,
+  'invalid_count(o_orderkey) > ' || (o_orderkey % 7) || ':' || chr(10) || '  valid values: [' || o_orderkey || ']' AS check_definition,
+  n AS failed_value_count
+FROM (SELECT o_orderkey, count(*) OVER () - count(*) OVER (PARTITION BY o_orderkey) AS n FROM orders)""",
+)
+sql(
+    "check_results_beside_failures",
+    "",
+    f"""SELECT table_name, check_id, check_name, is_passed, false AS failed FROM ({_check_rows()})
+WHERE table_name NOT IN ('lake.main.orders', 'lake.main.labels')
+UNION ALL SELECT 'lake.main.' || t, 0, '', false, true FROM (VALUES ('orders'), ('labels')) v(t)""",
+)
 sql(
     "check_rollup",
     "",
@@ -835,3 +851,8 @@ sql(
         f"coalesce({_PASSED}, true)",
     ),
 )
+
+# --- several changes of one key: the last counts ---------------------------------------------------
+
+for _name in ("config_upsert", "checks_update_by_id", "comment_update"):
+    ORACLE[f"{_name}_in_order"] = ORACLE[_name]

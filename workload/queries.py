@@ -435,6 +435,31 @@ def check_results(spark, folder):
     return found.withColumn("failed_value_count", F.col("failed_value_count").cast("string"))
 
 
+@query
+def check_results_per_order(spark, folder):
+    """One check for every order, all on one column."""
+    results = C.evaluate_checks(spark, W.order_checks(spark, folder), W.checked_tables(spark, folder))
+    return C.check_summaries(results)
+
+
+@query
+def check_results_beside_failures(spark, folder):
+    """The declared checks while two tables cannot be read: the others are evaluated, the two are named."""
+    tables = W.checked_tables(spark, folder)
+    for name, column in (("orders", "o_orderkey"), ("labels", "toxic")):
+        broken = F.expr(f"if(isnull({column}), {column}, raise_error('unreadable file'))")
+        tables[f"lake.main.{name}"] = tables[f"lake.main.{name}"].withColumn(column, broken)
+    failures: list[stages.Failure] = []
+    run = lambda some: C.evaluate_checks(spark, W.declared_checks(spark), some)
+    found = C.check_summaries(stages.in_batches(tables, run, failures, "checks"))
+    failed = stages.failure_rows(spark, failures)
+    named = F.col("error").contains("unreadable file")
+    none = F.lit(0).cast("bigint").alias("check_id"), F.lit("").alias("check_name"), F.lit(False).alias("is_passed")
+    failed = failed.select(X.full_name().alias("table_name"), *none, named.alias("failed"))
+    done = found.select("table_name", "check_id", "check_name", "is_passed", F.lit(False).alias("failed"))
+    return done.unionByName(failed)
+
+
 @query
 def check_rollup(spark, folder):
     return flat(C.check_rollup(_results(spark, folder)))
@@ -454,6 +479,20 @@ def config_upsert(spark, folder):
     return flat(K.upsert_config(stored, W.config_changes(spark, folder)))
 
 
+def _twice(changes, **stale):
+    """Each change twice, and an earlier one with stale values before it."""
+    last = changes.withColumn("change_number", F.lit(2))
+    first = changes.withColumns({c: F.lit(v) for c, v in stale.items()}).withColumn("change_number", F.lit(1))
+    return last.unionByName(first).unionByName(last)
+
+
+@query
+def config_upsert_in_order(spark, folder):
+    """Several changes for each table, of which the last counts."""
+    stored = K.latest_config(W.stored_config(spark, folder))
+    return flat(K.upsert_config(stored, _twice(W.config_changes(spark, folder), tag="stale")))
+
+
 @query
 def seed_config(spark, folder):
     stored = K.latest_config(W.stored_config(spark, folder))
@@ -477,6 +516,13 @@ def checks_update_by_id(spark, folder):
     )
 
 
+@query
+def checks_update_by_id_in_order(spark, folder):
+    """Several changes for each check, of which the last counts."""
+    changes = _twice(W.crm_checks_by_id(spark, folder), check="stale", tag="stale")
+    return flat(K.update_checks_by_id(W.crm_checks(spark, folder), changes))
+
+
 @query
 def drop_checks(spark, folder):
     """All checks but those of partial orders."""
@@ -546,6 +592,14 @@ def comment_update(spark, folder):
     return flat(columns)
 
 
+@query
+def comment_update_in_order(spark, folder):
+    """Several comments for each column, of which the last counts."""
+    changes = _twice(_comments(spark, folder), comment="stale")
+    columns, _ = K.set_comments(W.crm_columns(spark, folder), W.crm_tags(spark, folder), changes)
+    return flat(columns)
+
+
 @query
 def comment_update_tags(spark, folder):
     _, tags = K.set_comments(
