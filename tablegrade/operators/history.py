@@ -37,13 +37,42 @@ def invalid_windows(config: DataFrame) -> DataFrame:
     )
 
 
+def history_days(history: DataFrame) -> DataFrame:
+    """The commits folded to one row per table and day, from which freshness, versions and pipelines follow.
+
+    A commit counts to the first midnight at which it is in force (one made exactly then already is). A row has the day's ``first`` and
+    ``last`` version, the time of its ``last_write`` and ``newest``, which is twice the last version, plus one if a job made it. All are numbers, so the
+    fold stays in hash aggregation and happens before the shuffle. A folded history can take the place of the history
+    itself in the functions below; it is folded no further.
+    """
+    if "newest" in history.columns:
+        return history
+    midnight = F.date_trunc("day", "timestamp").cast("timestamp_ntz")
+    in_force = F.when(F.col("timestamp") == midnight, midnight).otherwise(midnight + F.expr("interval 1 day"))
+    write = F.col("operation").isin(WRITE_OPERATIONS)
+    by_job = F.col("version") * 2 + F.col("job").isNotNull().cast("bigint")
+    return history.groupBy(*TABLE_KEYS, in_force.alias("day")).agg(
+        F.max("version").alias("last"),
+        F.min("version").alias("first"),
+        F.max(F.when(write, F.col("timestamp"))).alias("last_write"),
+        F.max(by_job).alias("newest"),
+    )
+
+
+def made_by_jobs(history: DataFrame) -> DataFrame:
+    """Per table, whether a job made its newest commit (``by_job``)."""
+    if "newest" in history.columns:
+        return history.groupBy(*TABLE_KEYS).agg((F.max("newest") % 2 == 1).alias("by_job"))
+    return latest_commit(history).select(*TABLE_KEYS, F.col("etl_job").isNotNull().alias("by_job"))
+
+
 def last_writes(history: DataFrame) -> DataFrame:
     """Time of the newest data-changing commit per table, over all tables that have one."""
-    return (
-        history.where(F.col("operation").isin(WRITE_OPERATIONS))
-        .groupBy(*TABLE_KEYS)
-        .agg(F.max("timestamp").alias("last_update"))
-    )
+    if "newest" in history.columns:
+        writes = history.where("last_write is not null").withColumnRenamed("last_write", "timestamp")
+    else:
+        writes = history.where(F.col("operation").isin(WRITE_OPERATIONS))
+    return writes.groupBy(*TABLE_KEYS).agg(F.max("timestamp").alias("last_update"))
 
 
 def freshness(history: DataFrame, config: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -83,14 +112,7 @@ def version_as_of_day(history: DataFrame, targets: DataFrame) -> DataFrame:
     to the last and first version of each day, map-side, so that even the busiest table joins with no more
     rows than it has days; all aggregates are on numbers and stay in hash aggregation.
     """
-    midnight = F.date_trunc("day", "timestamp").cast("timestamp_ntz")
-    # The first midnight at which a commit is in force; one made exactly then already is.
-    in_force = F.when(F.col("timestamp") == midnight, midnight).otherwise(
-        midnight + F.expr("interval 1 day")
-    )
-    days = history.groupBy(*TABLE_KEYS, in_force.alias("day")).agg(
-        F.max("version").alias("last"), F.min("version").alias("first")
-    )
+    days = history_days(history)
     known = F.when(F.col("day") <= F.col("target"), F.col("last"))
     return (
         days.join(targets.select(*TABLE_KEYS, "target"), TABLE_KEYS)

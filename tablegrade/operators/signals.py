@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegrade.functions.expressions import enforces_retention, full_name, is_filled
-from tablegrade.operators.history import latest_commit
+from tablegrade.operators.history import made_by_jobs
 from tablegrade.schemas import COLUMN_KEYS, PROPERTY_KEYS, TABLE_KEYS
 
 
@@ -76,7 +76,7 @@ def steward_signals(
     return (
         tables.select(*TABLE_KEYS, "id", "description", "created_at", "last_modified")
         .join(facts, TABLE_KEYS, "left")
-        .join(latest_commit(history), TABLE_KEYS, "left")
+        .join(made_by_jobs(history), TABLE_KEYS, "left")
         .join(check_coverage(columns, checks), TABLE_KEYS, "left")
         .select(
             *TABLE_KEYS,
@@ -88,7 +88,7 @@ def steward_signals(
             is_filled("Owner").alias("has_a_valid_owner"),
             F.coalesce(delta, no).alias("is_delta_table"),
             is_filled("description").alias("table_description"),
-            F.col("etl_job").isNotNull().alias("uses_a_production_pipeline"),
+            F.coalesce("by_job", no).alias("uses_a_production_pipeline"),
             enforces_retention(F.col("Table Properties")).alias("has_enforced_retention_duration"),
             F.coalesce(managed, no).alias("is_managed_location"),
             F.coalesce("table_implement_checks", no).alias("table_implement_checks"),

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tablegrade.functions.expressions import full_name
 from tablegrade.operators.checks import check_rollup, evaluate_checks
 from tablegrade.operators.drift import past_columns, schema_drift
-from tablegrade.operators.history import freshness
+from tablegrade.operators.history import freshness, history_days
 from tablegrade.operators.inventory import list_schemas, list_tables
 from tablegrade.operators.profile import (
     Tables,
@@ -239,19 +239,20 @@ def graded_metrics(
     """All metrics of all configured tables as ``(table, metric, value)`` rows.
 
     A table that was not scanned, or has no past version, gives no row for the metric concerned, so
-    that an earlier value stays.
+    that an earlier value stays. The history is read once, folded to days and stored.
     """
     config = latest_config(config)
+    history = stored_once(history_days(facts.history))
     # Columns are folded to one row per table first and limited to the configured tables after.
     signals = steward_signals(
         in_scope(facts.tables, config),
         facts.properties,
-        facts.history,
+        history,
         state.columns,
         state.checks,
     )
     described = in_scope(columns_described(state.columns), config)
-    past = past_columns(facts.history, facts.schema_versions, config, as_of)
+    past = past_columns(history, facts.schema_versions, config, as_of)
     drift = schema_drift(in_scope(state.columns, past.select(*TABLE_KEYS).distinct()), past)
     checks = in_scope(state.checks, config)
     evaluated = in_batches(tables, lambda some: evaluate_checks(spark, checks, some), failures, "grade")
@@ -272,7 +273,7 @@ def graded_metrics(
                 ],
             ),
             metric_rows(described, ["columns_description"]),
-            metric_rows(freshness(facts.history, config, as_of), ["is_fresh"]),
+            metric_rows(freshness(history, config, as_of), ["is_fresh"]),
             metric_rows(
                 drift,
                 {"columns_match": "columns_valid", "datatypes_match": "columns_datatype_valid"},

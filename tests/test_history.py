@@ -145,3 +145,21 @@ def test_past_columns_come_from_the_picked_version(spark):
         NOW,
     )
     assert as_set(found, "table_name", "column_name") == {("t", "a")}
+
+
+def test_folded_days_give_what_the_commits_give(spark):
+    rows = []
+    for t in range(6):
+        for version in range(40):
+            moment = f"2024-01-{1 + version // 2:02d} {['00:00:00', '07:30:00', '23:59:59'][version % 2 + t % 2]}"
+            rows.append((f"t{t}", version, moment, ["WRITE", "OPTIMIZE", "MERGE"][(version * t) % 3], "job" if (version + t) % 4 else None))
+    raw = commits(spark, *rows)
+    days = history.history_days(raw)
+    assert "SortAggregate" not in days._jdf.queryExecution().executedPlan().toString()
+    assert days.count() < raw.count() and history.history_days(days) is days
+    config = frame(spark, "freshness_window string", *[(f"t{t}", "15d") for t in range(7)])
+    targets = frame(spark, "target timestamp_ntz", *[(f"t{t}", datetime(2024, 1, 3 + 2 * t)) for t in range(6)])
+    for result in (
+        lambda h: history.freshness(h, config, NOW), lambda h: history.made_by_jobs(h), lambda h: history.version_as_of_day(h, targets),
+    ):
+        assert sorted(map(str, result(raw).collect())) == sorted(map(str, result(days).collect()))

@@ -148,6 +148,16 @@ def test_a_failing_table_costs_one_table(spark, monkeypatch):
     assert {t for t, value in by_table(empty, "has_check_passed").items() if not value} == {"t2", "t7"}
 
 
+def test_the_history_is_read_once(spark, tmp_path):
+    known = facts(spark)
+    known.history.write.parquet(f"{tmp_path}/commits_of_all")
+    known = stages.TableFacts(known.tables, known.properties, spark.read.parquet(f"{tmp_path}/commits_of_all"), known.schema_versions)
+    state = stages.ColumnState(columns_of(spark, catalog_of(spark)), spark.createDataFrame([], COLUMN_TAGS), spark.createDataFrame([], COLUMN_CHECKS))
+    rows = stages.graded_metrics(spark, catalog_of(spark), seeded(spark), known, state, NOW)
+    assert "commits_of_all" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.where("metric = 'is_fresh' and value").count() == 1
+
+
 def test_tables_that_cannot_be_opened(spark):
     spark.range(3).createOrReplaceTempView("opened_view")
     failures: list[stages.Failure] = []
