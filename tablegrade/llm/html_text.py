@@ -31,6 +31,8 @@ _LABEL = re.compile(r"\bdata-main\b")
 
 #: Elements whose content is no text of the page.
 SKIPPED = {"script", "style", "noscript", "template", "textarea", "select", "iframe", "svg", "math", "object", "title", "head", "canvas", "audio", "video"}
+#: Of these, elements whose content runs to the page's end if they aren't closed.
+TO_THE_END = {"script", "style", "textarea", "title"}
 #: Elements with another purpose than main text.
 OTHER = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 MAIN = {"article", "main"}
@@ -49,6 +51,11 @@ MARKS = re.compile(
     re.IGNORECASE,
 )
 
+#: Classes of single reader comments, which are often articles of their own; looked for in whole class names.
+COMMENT = re.compile(r"(?:^|\s)(?:comments?|comment[_-](?!open|closed|status)[\w-]+|repl(?:y|ies)|review|respond)(?=$|\s)", re.IGNORECASE)
+#: A part of the main text may have a header.
+HEADER = re.compile(r"(?<![a-z])header(?![a-z])", re.IGNORECASE)
+
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "main", "other"]
 
 
@@ -70,6 +77,7 @@ class _Open:
     main: bool
     other: bool
     label: bool
+    comment: bool = False
 
 
 @dataclass
@@ -119,8 +127,11 @@ class Reader:
         top = self.opened[-1] if self.opened else _Open("", False, False, False)
         names = " ".join(next(filter(None, m), "") for m in _NAMES.findall(rest))
         main = top.main or name in MAIN
-        other = (top.other and name != "article") or (name in OTHER and not (name == "header" and top.main)) or bool(names and MARKS.search(names) and name not in {"html", "body", "article", "main"})
-        self.opened.append(_Open(name, main, other, top.label or bool(_LABEL.search(rest))))
+        comment = top.comment or bool(name not in {"html", "body", "main"} and COMMENT.search(names))
+        marked = HEADER.sub("", names) if top.main else names
+        other = comment or (top.other and name != "article") or (name in OTHER and not (name == "header" and top.main))
+        other = other or bool(name not in {"html", "body", "article", "main"} and MARKS.search(marked))
+        self.opened.append(_Open(name, main, other, top.label or bool(_LABEL.search(rest)), comment))
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -135,7 +146,8 @@ class Reader:
 
 def blocks_of(page: str | None) -> list[Block]:
     """The text blocks of a page in order, their character references decoded and white space made one space. Nothing is cut off: a
-    page that ends inside a tag or comment loses only that tag."""
+    page that ends inside a tag or comment loses only that tag, and an element that isn't closed only its tag, but for scripts and the like
+    (``TO_THE_END``)."""
     page, reader, at = page or "", Reader(), 0
     while at < len(page):
         mark = page.find("<", at)
@@ -158,7 +170,8 @@ def blocks_of(page: str | None) -> list[Block]:
         elif name in SKIPPED and name != "head":
             if not tag["rest"].rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                if end or name in TO_THE_END:
+                    at = end.end() if end else len(page)
             reader.flush() if name in {"title", "iframe"} else None
         else:
             reader.start(name, tag["rest"])
@@ -198,6 +211,14 @@ def labelled_pages() -> list[str]:
         f"<article>{_main(6)}<ul><li data-main>{text(3)}</li><li data-main>{text(5)}</li></ul><blockquote data-main>{text(28)}</blockquote>{_main(44)}<p data-main>{text(10)} <a href='#'>{text(3)}</a></p></article><div>{_links(5)}</div><p>{text(3)}</p>",
         f"<div>{text(3)}</div><div>{_links(7)}</div><div>{_main(120)}</div><div>{_main(85)}</div><div>{_main(28)}</div><div>{_links(2, 5)}</div><div>{text(5)}</div>",
         f"<nav>{text(3)}</nav><p>{text(5)}</p><ul>{_links(9, 2)}</ul><p>{text(2)}</p>",
+        f"<article>{_main(60)}</article>",
+        f"<article><h1 data-main>{text(2)}</h1>{_main(60)}</article>",
+        f"<nav>{text(4)}</nav><article><h1 data-main>{text(7)}</h1>{_main(30, 4, 50, 12)}</article>",
+        f"<article><h1 data-main>{text(1)}</h1>{_main(150, 2, 110, 1, 3, 130, 4, 2)}</article><footer>{text(5)}</footer>",
+        f"<ul>{_links(4)}</ul><article>{_main(95, 1, 200, 4, 1, 1, 90, 3)}</article>",
+        f"<main>{_main(1, 22, 100, 2, 1, 120, 4)}</main><div>{_links(3, 2)}</div>",
+        f"<h1 data-main>{text(6)}</h1>{_main(40, 60)}",
+        f"<ul>{_links(6)}</ul><div>{_main(90, 40, 25)}</div>",
         f"<article><h1 data-main>{text(5)}</h1>{_main(18)}</article><article><h1 data-main>{text(4)}</h1>{_main(33)}</article><aside><p>{text(50)}</p></aside>",
     ]
 
