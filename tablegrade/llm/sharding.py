@@ -21,6 +21,8 @@ from tablegrade.llm.common import col, table
 
 ROUNDS = 4
 WALK = 64
+#: Buckets that rows are numbered in, at least.
+LEAST_BUCKETS = 64
 #: Rows with equal keys are written out in blocks of so many.
 BLOCK = 4096
 
@@ -66,15 +68,14 @@ def row_at(shard: Column, slot: Column, rows: int, shards: int, seed: int = 0) -
 
 
 def numbered(keys: DataFrame, rows: int, name: str = "row") -> DataFrame:
-    """All rows with global numbers from 0, gapless, that depend on the rows' values alone.
+    """All rows with global numbers from 0, gapless, that depend on the rows' values alone: not on the
+    files, partitions or settings of the session.
 
     Equal rows are counted first and written out last, so a key that holds a third of all rows is one row between. Rows
     are dealt to buckets by a hash of all columns, counted by bucket, and numbered in the bucket after all earlier ones.
     """
-    spark = keys.sparkSession
     columns = [col(c) for c in keys.columns]
-    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, rows // 200_000)
+    buckets = max(LEAST_BUCKETS, rows // 200_000)
     counted = keys.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     counted = counted.withColumn("_bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
     sizes = counted.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
