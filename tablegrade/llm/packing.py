@@ -28,6 +28,9 @@ from tablegrade.llm.common import col, small_batches, table
 #: How byte-level BPE parts a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Characters of a stretch that is left to the slower encoder.
+LONG_STRETCH = 20_000
+
 PIECE = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 _ENCODERS: dict[str, object] = {}
@@ -43,7 +46,8 @@ def encoder(path: str):
     """Text to token ids, by the vocabulary of a byte-level BPE file of the ``tokenizers`` library.
 
     A token's id there is its merge rank, so ``tiktoken`` gives the same ids in a quarter of the time. Strings of
-    special tokens are ordinary text.
+    special tokens are ordinary text. Texts with very long stretches of blanks or without blanks, which ``tiktoken`` can't
+    split, are left to ``tokenizers`` itself.
     """
     if path not in _ENCODERS:
         import tiktoken
@@ -57,7 +61,22 @@ def encoder(path: str):
         vocabulary = content["model"]["vocab"]
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if i not in special}
         made = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        _ENCODERS[path] = made.encode_ordinary
+        whole: list = []
+
+        def encode(text: str) -> list[int]:
+            if len(text) > LONG_STRETCH:
+                words = text.split()
+                longest = len(max(words, key=len, default=""))
+                if longest > LONG_STRETCH or len(text) - sum(map(len, words)) - len(words) > LONG_STRETCH:
+                    if not whole:
+                        from tokenizers import Tokenizer
+
+                        whole.append(Tokenizer.from_file(path))
+                        whole[0].encode_special_tokens = True
+                    return whole[0].encode(text, add_special_tokens=False).ids
+            return made.encode_ordinary(text)
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 
