@@ -26,10 +26,17 @@ LONGEST, RANKS = 3, 400
 #: Documents expected in the learned sample of each language.
 SAMPLE = 3000
 UNKNOWN = "und"
-#: Documents with a lower score are rejected by the pipeline: nothing in them resembles any learned language.
-LEAST_SCORE = 0.05
+#: Of the score of labelled documents, what a document must reach to be kept by the pipeline (see ``least_score``).
+MARGIN = 0.8
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+
+def _no_letter() -> re.Pattern:
+    """What parts words: all characters but letters. Number signs such as ``²`` belong to words elsewhere, but not here."""
+    signs = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+    return re.compile(rf"[\W\d_{re.escape(signs)}]+")
+
+
+_NO_LETTER = _no_letter()
 
 
 def grams(text: str | None, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
@@ -70,20 +77,35 @@ class Profiles:
         return self.languages[best], float(1 - far[best] / (self.ranks * len(own)))
 
 
+def sampled(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """``text`` and ``lang`` of about ``sample`` labelled documents of each language, chosen by a hash of the text.
+
+    To the driver come the numbers of rows by language.
+    """
+    rows = labelled.select(col(text_column).alias("text"), col(lang_column).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return rows.limit(0)
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
+    return rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+
+
+def least_score(chosen: DataFrame, profiles: Profiles) -> float:
+    """The score below which a text is taken for none of the languages: ``MARGIN`` of the score that all but one in a thousand
+    of the labelled texts of the sample reach, short ones included. 0 where nothing was learned."""
+    scored = chosen.select(language_of(F.col("text"), profiles).alias("said")).filter(F.col("said.lang") != UNKNOWN)
+    return MARGIN * (scored.agg(F.percentile_approx("said.score", 0.001, 10_000).alias("low")).first()["low"] or 0.0)
+
+
 def learn(
     labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", sample: int = SAMPLE, ranks: int = RANKS
 ) -> Profiles:
-    """Profiles from a sample of labelled documents: about ``sample`` of each language, chosen by a hash of the text.
+    """Profiles from a sample of labelled documents: about ``sample`` of each language (see ``sampled``).
 
     Rows without a language are not used. To the driver come the number of rows and ``ranks`` n-grams per language.
     """
     small_batches(labelled.sparkSession)
-    rows = labelled.select(col(text_column).alias("text"), col(lang_column).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return Profiles([], np.empty(0, np.uint64), np.empty((0, 0), np.int64), ranks)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    chosen = sampled(labelled, text_column, lang_column, sample)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, Counter] = {}
@@ -97,6 +119,8 @@ def learn(
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = chosen.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     listed = counts.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= ranks).collect()
+    if not listed:
+        return Profiles([], np.empty(0, np.uint64), np.empty((0, 0), np.int64), ranks)
     languages = sorted({r["lang"] for r in listed})
     known = np.array(sorted({r["gram"] for r in listed}), np.uint64)
     places = np.full((len(languages), len(known)), ranks, np.int64)
@@ -126,10 +150,10 @@ def identify(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", tex
     return said.select("doc_id", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
 
 
-def keep_known(docs: DataFrame, profiles: Profiles, text_column: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+def keep_known(docs: DataFrame, profiles: Profiles, text_column: str = "text", least: float = 0.0) -> DataFrame:
     """The documents in a learned language, all columns as they are.
 
-    Rejected are null texts, texts without a letter, and texts whose n-grams are almost all foreign to every profile.
+    Rejected are null texts, texts without a letter, and texts with a score below ``least``, which resemble no profile.
     """
     small_batches(docs.sparkSession)
     said = fresh(docs, "said")
@@ -151,5 +175,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is known."""
-    return keep_known(docs, learn(docs.select("text", "lang")))
+    """Keeps the documents whose language is known: those that score like labelled documents do."""
+    labelled = docs.select("text", "lang")
+    profiles = learn(labelled)
+    return keep_known(docs, profiles, least=least_score(sampled(labelled), profiles))
