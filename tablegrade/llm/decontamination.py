@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegrade.llm.common import col, content_key, for_all, hashed_words, small_batches, table
+from tablegrade.llm.common import col, content_key, for_all, fresh, hashed_words, small_batches, table
 from tablegrade.llm.lsh_forest import runs
 from tablegrade.sources.state_files import stored_once
 
@@ -266,8 +266,9 @@ def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_col
     """The documents in which no item is found, all columns as they are. Rows alike in id and text share their fate."""
     found = stored_once(contaminated(docs, items, id_column, text_column).select("key_id", "key_text").distinct())
     keys = content_key(col(id_column), col(text_column))
-    marked = for_all(found.select(F.col("key_id").alias("_id"), F.col("key_text").alias("_text")), 32)
-    return docs.join(marked, keys[0].eqNullSafe(F.col("_id")) & (keys[1] == F.col("_text")), "left_anti")
+    names = fresh(docs, "_id"), fresh(docs, "_text")
+    marked = for_all(found.select(F.col("key_id").alias(names[0]), F.col("key_text").alias(names[1])), 32)
+    return docs.join(marked, keys[0].eqNullSafe(F.col(names[0])) & (keys[1] == F.col(names[1])), "left_anti")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegrade.llm.common import col, content_key, for_all, hashed_words, small_batches, table
+from tablegrade.llm.common import col, content_key, for_all, fresh, hashed_words, small_batches, table
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -309,8 +309,9 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     texts = content_key(col(id_column), col(text_column))
 
     def matched(source: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        same = texts[0].eqNullSafe(F.col("_id")) & (texts[1] == F.col("_text"))
-        return source.join(for_all(keys.select(F.col("key_id").alias("_id"), F.col("key_text").alias("_text")), 32), same, how)
+        names = fresh(source, "_id"), fresh(source, "_text")
+        same = texts[0].eqNullSafe(F.col(names[0])) & (texts[1] == F.col(names[1]))
+        return source.join(for_all(keys.select(F.col("key_id").alias(names[0]), F.col("key_text").alias(names[1])), 32), same, how)
 
     left = matched(docs, marked, "left_anti")
     again = matched(docs, marked.filter("stays"), "left_semi").dropDuplicates([id_column, text_column])

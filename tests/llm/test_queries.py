@@ -23,10 +23,14 @@ AWKWARD = [
 ]
 
 
+#: Names that the operators use inside.
+CLASHING = ["_id", "_text", "place", "item", "w", "said", "group", "stays", "times", "_n", "_bucket", "row"]
+
+
 @pytest.fixture(scope="module")
 def awkward(spark):
     docs = spark.createDataFrame(AWKWARD, "doc_id long, text string, lang string")
-    return docs.select("*", F.lit("x").alias("source"), F.lit(1).alias("n_chars"), F.lit(9).alias("key_id"), F.lit(0).alias("class"), F.lit(0).alias("a.b"))
+    return docs.select("*", F.lit("x").alias("source"), F.lit(1).alias("n_chars"), F.lit(9).alias("key_id"), F.lit(0).alias("class"), F.lit(0).alias("a.b"), *[F.lit(0).alias(c) for c in CLASHING])
 
 
 def test_awkward_rows(spark, awkward):
@@ -34,7 +38,7 @@ def test_awkward_rows(spark, awkward):
     profiles = language.learn(awkward)
     said = {(r["doc_id"], r["lang_pred"]) for r in language.identify(awkward, profiles).collect()}
     assert (3, "und") in said and (7, "und") in said and (1, "en") in said
-    assert language.keep_known(awkward, profiles).columns == awkward.columns
+    assert language.keep_known(awkward, profiles, least=0.2).columns == awkward.columns
     assert quality.judge(awkward).count() == n
     found = {r["doc_id"]: r for r in licenses.licenses(awkward).collect()}
     assert (found[8]["n_base"], found[8]["base_labels"], found[8]["first_word"], found[8]["last_word"]) == (2, "cc-by,reserved", 0, 3)
@@ -107,6 +111,69 @@ def test_shuffle_depends_on_rows_alone(spark, tiny):
     assert set(sharding.shard(docs).collect()) == set(sharding.shard(docs.repartition(7).orderBy(F.rand())).collect())
 
 
+def test_places_are_the_same_under_all_settings(spark, tiny):
+    """Shard and slot don't depend on shuffle partitions or files, and are those of the permutation worked out in Python."""
+    docs, found = spark.read.parquet(f"{tiny}/documents.parquet"), []
+    for partitions in ("1", "4", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found.append({tuple(r) for r in sharding.shard(docs.repartition(int(partitions) + 2)).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1] == found[2]
+    rows = sorted(found[0], key=lambda r: r[3])
+    assert [r[3] for r in rows] == list(range(len(rows)))
+    assert sorted((r[4], r[5]) for r in rows) == sorted((i % 8, i // 8) for i in range(len(rows)))
+
+
+def test_packing_of_long_stretches(spark):
+    texts = ["x" + " " * 1_000_000 + "y", "!" * 30_000, "\n" * 50_000 + "z", "word " * 20_000]
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["doc_tokens"] for r in packing.pack(docs).collect()}
+    assert found == {i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_texts_that_resemble_no_language(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    profiles = language.learn(docs)
+    least = language.least_score(language.sampled(docs), profiles)
+    assert language.least_score(docs.limit(0), profiles) == 0 and 0.2 < least < 0.6
+    rng = random.Random(1)
+    noise = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(200))
+    other = "Tämä on suomenkielinen teksti, jossa kerrotaan metsästä ja järvestä sekä siitä, miten kesäyö on valoisa. " * 5
+    foreign = spark.createDataFrame([(1, noise), (2, other), (3, "² ½ ①"), (4, "١٢٣ 12")], "doc_id long, text string")
+    assert language.keep_known(foreign, profiles, least=least).count() == 0
+    assert {r["lang_pred"] for r in language.identify(foreign.filter("doc_id > 2"), profiles).collect()} == {"und"}
+    assert language.keep_known(docs, profiles, least=least).count() >= 0.99 * docs.filter("text is not null").count()
+
+
+def test_pages_lose_no_text(spark, tiny):
+    """The whole text of every article, with what stands around it, without it and with nothing after it; no comments."""
+    tree = html_text.train(spark)
+    for page in (r["html"] for r in spark.read.parquet(f"{tiny}/pages.parquet").collect()):
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.DOTALL)
+        wanted = "\n".join(b.text for b in html_text.blocks_of(article[1]))
+        for cut in (page, page[: article.end()], article[0], page[article.end() :] + article[0]):
+            assert html_text.main_text(cut, tree) == wanted
+    words = " ".join(["word"] * 60)
+    comment = f"<div class='comments'><article class='comment'><p>{words}</p></article></div><article class='comment-body'><p>{words}</p></article>"
+    for page, wanted in (
+        (f"<article><p>{words}</p></article>", words),
+        (f"<article><h1>Title</h1><p>{words}</p></article>", f"Title\n{words}"),
+        (f"<article><p>{words}</p></article>{comment}", words),
+        (f"<article><p>{words}</p><svg><p>{words}</p></article>", f"{words}\n{words}"),
+        (f"<article><div class='post-header'><h1>A headline</h1></div><p>{words}</p></article>", f"A headline\n{words}"),
+        (f"<article><p>{words}</p><script>{words}", words),
+    ):
+        assert html_text.main_text(page, tree) == wanted
+    rows = [(1, f"<article><p>{words}</p></article>"), (1, f"<article><p>{words}</p></article>"), (2, None), (3, ""), (None, "<br>")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").select("*", F.lit(1).alias("main"), F.lit("old").alias("text"))
+    found = html_text.extract(pages, tree)
+    assert found.columns == pages.columns and sorted(r["text"] for r in found.collect()) == ["", "", "", words, words]
+    assert html_text.extract(pages.limit(0), tree).count() == 0
+
+
 def test_template_beside_stray_runs(spark):
     listed = " ".join(f"name{i} MIT License" for i in range(40))
     notice = "Released under the MIT License"
