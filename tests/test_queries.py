@@ -12,7 +12,7 @@ from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
 #: Queries whose similarity search runs numpy inside tasks.
-IN_PYTHON = {"similar_topk", "similar_topk_in_blocks", "retrieved_documents", "retrieval_context", "build_prompts"}
+IN_PYTHON = {"similar_topk", "similar_topk_in_blocks", "similar_topk_indexed", "retrieved_documents", "retrieval_context", "build_prompts"}
 
 
 @pytest.fixture(scope="module")

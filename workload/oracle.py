@@ -738,6 +738,7 @@ sql(
 
 sql("similar_topk", "all_matches", "SELECT * FROM all_matches")
 sql("similar_topk_in_blocks", "all_matches", "SELECT * FROM all_matches")
+sql("similar_topk_indexed", "all_matches", "SELECT * FROM all_matches")
 sql(
     "retrieved_documents",
     "matches",

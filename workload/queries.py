@@ -14,6 +14,7 @@ from tablegrade.operators import (
     drift as D,
     history as H,
     inventory as I,
+    metric_index as V,
     profile as P,
     reconcile as R,
     retrieval as T,
@@ -656,6 +657,14 @@ def similar_topk_in_blocks(spark, folder):
     )
 
 
+@query
+def similar_topk_indexed(spark, folder):
+    """The same over an index of rings around pivots, of which each query opens those that can hold its best."""
+    documents = W.all_vectors(spark, folder)
+    index = V.build_index(documents, pivots=16, block_rows=128)
+    return V.search(W.vector_queries(spark, folder), index, documents)
+
+
 @query
 def retrieved_documents(spark, folder):
     """The reference checks that are nearest to each vector, with their texts."""
