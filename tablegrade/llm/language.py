@@ -9,10 +9,10 @@ N-grams lie within words, with the blank before and after a word as one more let
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -30,21 +30,22 @@ UNKNOWN = "und"
 MARGIN = 0.8
 
 
-def _no_letter() -> re.Pattern:
-    """What parts words: all characters but letters. Number signs such as ``²`` belong to words elsewhere, but not here."""
-    signs = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-    return re.compile(rf"[\W\d_{re.escape(signs)}]+")
-
-
-_NO_LETTER = _no_letter()
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters. Number signs such as ``²`` are none here, although they belong to words elsewhere."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def grams(text: str | None, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a text as numbers (code points in base 2^21), most frequent first, ties by number; and how often."""
-    letters = " " + _NO_LETTER.sub(" ", (text or "").lower()).strip() + " "
-    if letters.isspace():
+    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = _letters()[points]
+    if not inside.any():
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    code = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    # One blank before the first word, and one for whatever follows a word.
+    ends = np.diff(inside.view(np.int8), append=0) < 0
+    code = np.insert(points[inside].astype(np.uint64), np.cumsum(inside)[ends], np.uint64(32))
+    code = np.concatenate([np.array([32], np.uint64), code])
     blank = code == 32
     found, run, inner = [code[~blank]], code, np.zeros(len(code), bool)
     for n in range(2, longest + 1):
