@@ -2,10 +2,12 @@
 
 Documents are cut into windows of as many words as benchmark items have, at every word; a window is compared with items of its
 size. A window and an item are bags of five-word shingles, weighted by how rare a shingle is among items; their similarity is the weighted Jaccard index. A window's SimHash
-fingerprint has 64 bits in ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, some block differs in at most
-``RADIUS // BLOCKS``; so items are entered under all values that close to their blocks, and every pair within the radius meets in a
-join on block and value. Pairs within the radius are then verified. Of pairs of similarity 0.8, with equal weights, fewer than 1 in
-1,000 differ in more bits (simulated for 9 to 108 shingles: at most 0.08 %; with a radius of 15 it was up to 2.4 %).
+fingerprint has 64 bits in the blocks of ``WIDTHS``. If two fingerprints differ in at most ``RADIUS`` bits, some block differs in at
+most ``FLIPS``; so items are entered under all values that close to their blocks, and every pair within the radius meets in a
+join on block and value. That join carries no shingles: they are stored once per stretch of a text and looked up for the pairs within
+the radius, which are then verified. Of pairs of similarity 0.8, with equal weights, fewer than 1 in
+1,000 differ in more bits (simulated for 9 to 108 shingles: at most 0.08 %; with a radius of 15 it was up to 2.4 %). Where most of an
+item's shingles stand in all items, the few others weigh most and more is lost (0.15 % if it is 80 % of them, 2.2 % if 95 %).
 
 Only windows that can be similar get fingerprints: as a shingle that no item has weighs most, at least four fifths of
 a similar window's shingles must be shingles of items. A table of fixed size tells, by hash, which may be.
@@ -27,7 +29,11 @@ from tablegrade.llm.lsh_forest import runs
 from tablegrade.sources.state_files import stored_once
 
 SHINGLE, SIMILAR = 5, 0.8
-BITS, BLOCKS, RADIUS = 64, 4, 19
+BITS, RADIUS = 64, 19
+#: Bits of the blocks of a fingerprint, the lowest first, and how many bits differ at most in the block that differs least.
+WIDTHS = (13, 13, 13, 13, 12)
+BLOCKS, FLIPS = len(WIDTHS), RADIUS // len(WIDTHS)
+SHIFTS = tuple(sum(WIDTHS[:i]) for i in range(BLOCKS))
 #: Bytes of the table of items' shingles, at least and at most. A full table only makes more windows candidates.
 LEAST_TABLE, LARGEST_TABLE = 1 << 16, 1 << 24
 #: A shingle's weight is ``log(1 + items / items with it)``; the table keeps it in so many steps.
@@ -162,8 +168,7 @@ def index_of(bags: DataFrame) -> Index:
 def entered(bags: DataFrame, index: Index) -> DataFrame:
     """``place``, ``item``, ``item_print``: every item under all values close to its blocks; a place is the item's number of words, a
     block and a value."""
-    width = BITS // BLOCKS
-    flips = near_values(width, RADIUS // BLOCKS)
+    flips = [near_values(width, FLIPS) for width in WIDTHS]
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -171,9 +176,9 @@ def entered(bags: DataFrame, index: Index) -> DataFrame:
                 hashes = np.array(shingles, np.int64).view(np.uint64)
                 sums = (bits_of(hashes) * index.weights(hashes)[:, None]).sum(axis=0, keepdims=True)
                 own = fingerprints(sums)[0]
-                parts = [(int(own) >> (width * i)) & ((1 << width) - 1) for i in range(BLOCKS)]
+                parts = [(int(own) >> shift) & ((1 << width) - 1) for shift, width in zip(SHIFTS, WIDTHS, strict=True)]
                 yield pd.DataFrame({
-                    "place": np.concatenate([(flips ^ part) | ((int(words) * BLOCKS + i) << width) for i, part in enumerate(parts)]),
+                    "place": np.concatenate([(flips[i] ^ part) | ((int(words) * BLOCKS + i) << WIDTHS[0]) for i, part in enumerate(parts)]),
                     "item": item,
                     "item_print": own,
                 })
@@ -221,20 +226,20 @@ def contaminated(
 
     text = col(text_column)
     held = docs.select(*content_key(col(id_column), text), F.explode(windows(text)).alias("s"))
-    cut = held.select("key_id", "key_text", F.col("s.start").alias("start"), F.col("s.shingles").alias("shingles"), F.explode("s.windows").alias("w"))
-    cut = cut.select("key_id", "key_text", "start", "shingles", "w.*")
-    width = BITS // BLOCKS
-    part = lambda value, i: F.shiftrightunsigned(value, width * i).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-    places = F.array(*[part(F.col("print"), i) + ((F.col("words").cast("long") * BLOCKS + i) * (1 << width)) for i in range(BLOCKS)])
+    held = stored_once(held.select("key_id", "key_text", "s.*", F.monotonically_increasing_id().alias("stretch")))
+    cut = held.select("stretch", F.explode("windows").alias("w")).select("stretch", "w.*")
+    part = lambda value, i: F.shiftrightunsigned(value, SHIFTS[i]).bitwiseAND(F.lit((1 << WIDTHS[i]) - 1).cast("long"))
+    places = F.array(*[part(F.col("print"), i) + ((F.col("words").cast("long") * BLOCKS + i) * (1 << WIDTHS[0])) for i in range(BLOCKS)])
     blocks = cut.select("*", F.explode(places).alias("place"))
     entries = stored_once(entered(unique, index))
     near = blocks.join(for_all(entries, 32), "place")
     differ = F.col("print").bitwiseXOR(F.col("item_print"))
     # A pair meets in several blocks; it goes on from the first in which it is close.
-    close = [F.when(F.bit_count(part(differ, i)) <= RADIUS // BLOCKS, F.lit(i)) for i in range(BLOCKS)]
-    first = F.coalesce(*close) == F.shiftright("place", width) % BLOCKS
+    close = [F.when(F.bit_count(part(differ, i)) <= FLIPS, F.lit(i)) for i in range(BLOCKS)]
+    first = F.coalesce(*close) == F.shiftright("place", WIDTHS[0]) % BLOCKS
+    near = near.filter((F.bit_count(differ) <= RADIUS) & first).select("stretch", "item", "at", "words")
     size = F.greatest(F.col("words") - SHINGLE + 1, F.lit(1))
-    near = near.filter((F.bit_count(differ) <= RADIUS) & first).select(
+    near = near.join(held.drop("windows"), "stretch").select(
         "key_id", "key_text", "item", (F.col("start") + F.col("at")).alias("start"), "words",
         F.slice("shingles", F.col("at") + 1, size).alias("shingles"),
     )

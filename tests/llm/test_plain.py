@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 from collections import Counter
 
@@ -141,6 +142,12 @@ def test_similarity_of_bags():
 def test_every_near_block_is_entered():
     flips = set(decontamination.near_values(16, 3).tolist())
     assert flips == {n for n in range(1 << 16) if n.bit_count() <= 3}
+    assert sum(decontamination.WIDTHS) == decontamination.BITS
+    rng = random.Random(4)
+    for _ in range(2000):  # whichever bits differ, some block differs in few
+        differ = rng.sample(range(decontamination.BITS), decontamination.RADIUS)
+        blocks = [sum(shift <= bit < shift + width for bit in differ) for shift, width in zip(decontamination.SHIFTS, decontamination.WIDTHS, strict=True)]
+        assert sum(blocks) == decontamination.RADIUS and min(blocks) <= decontamination.FLIPS
 
 
 def test_fingerprints_of_edited_items_lie_within_the_radius():

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import pyarrow.parquet as pq
@@ -69,6 +71,50 @@ def test_awkward_rows_decontamination(spark, awkward):
     assert clean.columns == awkward.columns and clean.count() == len(AWKWARD) - 5
 
 
+def passages_found(docs: dict, items: dict) -> dict:
+    """Per document and item the highest weighted Jaccard index of any item-sized window, by trying all of them; 0.8 or more."""
+    grams = lambda words: Counter(tuple(words[i : i + min(5, len(words))]) for i in range(max(len(words) - 4, 1)))
+    words_of = lambda text: re.findall(r"\w+", (text or "").lower())
+    bags = {i: (len(words_of(t)), grams(words_of(t))) for i, t in items.items() if words_of(t)}
+    unique = {(n, frozenset(bag.items())) for n, bag in bags.values()}
+    holding = Counter(gram for _, bag in unique for gram, _ in bag)
+    weight = lambda gram: math.log1p(len(unique) / holding[gram]) if gram in holding else math.log1p(len(unique))
+    best: dict = {}
+    for doc, text in docs.items():
+        words = words_of(text)
+        every = {k: {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} for k in range(1, 6)}
+        for item, (n, bag) in bags.items():
+            if not every[min(n, 5)] & bag.keys():
+                continue
+            for start in range(len(words) - n + 1):
+                window = grams(words[start : start + n])
+                if window.keys() & bag.keys():
+                    both = sum(weight(g) * k for g, k in (window & bag).items())
+                    index = both / sum(weight(g) * k for g, k in (window | bag).items())
+                    if index >= 0.8 - 1e-9:
+                        best[doc, item] = max(best.get((doc, item), 0), index)
+    return best
+
+
+def test_decontamination_by_brute_force(spark, tiny):
+    """All documents of the smallest tables, and copies of items with one or two words edited at any place, between other words."""
+    rows = pq.read_table(f"{tiny}/documents.parquet").to_pandas()
+    docs = dict(zip(rows["doc_id"].tolist(), rows["text"], strict=True))
+    held = pq.read_table(f"{tiny}/benchmark.parquet").to_pandas()
+    items = dict(zip(held["item_id"].tolist(), held["text"], strict=True))
+    rng = random.Random(5)
+    for i, text in enumerate(list(items.values()) * 3):
+        words = text.split()
+        for _ in range(1 + i % 2):
+            words[rng.randrange(len(words)) if i % 3 else 0] = f"edited{rng.randrange(10**6)}"
+        docs[10**6 + i] = " ".join(["before"] * (i % 7) + words + ["after"] * (i % 5))
+    asked = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = decontamination.contaminated(asked, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    expected = passages_found(docs, items)
+    assert {(r["key_id"], r["item_id"]) for r in found} == set(expected) and len(found) > 40
+    assert all(abs(r["similarity"] - expected[r["key_id"], r["item_id"]]) < 1e-6 for r in found)
+
+
 def test_empty_tables(spark, awkward):
     empty, items = awkward.limit(0), spark.createDataFrame([], "item_id long, text string")
     profiles = language.learn(empty)
