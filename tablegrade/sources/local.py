@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 _ARROW = {
     "string": pa.string(),
+    "binary": pa.binary(),
     "bigint": pa.int64(),
     "int": pa.int32(),
     "boolean": pa.bool_(),

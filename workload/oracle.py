@@ -497,6 +497,12 @@ sql(
     "",
     f"SELECT table_name, column_name, total AS row_count, nulls AS null_count FROM ({_profile(_source)})",
 )
+sql(
+    "profile_from_files",
+    "",
+    f"""SELECT table_name, column_name, data_type, low AS is_low_cardinality,
+  CASE WHEN low THEN {_JOINED} END AS distinct_values, total AS row_count, nulls AS null_count FROM ({_profile()})""",
+)
 sql(
     "low_cardinality_tags",
     "",

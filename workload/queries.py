@@ -23,6 +23,7 @@ from tablegrade.operators import (
     state as K,
     suggest as U,
 )
+from tablegrade.operators.profile_state import counts_of, profile_of, update_file_profile
 from tablegrade.plans import stages
 from tablegrade.schemas import (
     COLUMN_CHECKS,
@@ -363,6 +364,15 @@ def column_counts(spark, folder):
     return flat(P.column_counts(W.checked_tables(spark, folder)))
 
 
+@query
+def profile_from_files(spark, folder):
+    """Profile and counts of all columns from a kept state; every second table's files were read in an earlier run."""
+    tables = W.monitored(spark, folder)
+    earlier = update_file_profile(spark, dict(list(tables.items())[::2]))
+    state = stored_once(update_file_profile(spark, tables, state=stored_once(earlier)))
+    return flat(P.with_value_text(profile_of(state)).join(counts_of(state), COLUMN_KEYS))
+
+
 def _main_tags(spark, folder):
     """Tags from before: every text column has all three, with an outdated list of values."""
     columns = columns_of(spark, W.monitored(spark, folder)).where("data_type = 'string'")
