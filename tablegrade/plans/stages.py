@@ -31,6 +31,7 @@ from tablegrade.operators.profile import (
     union_all,
     update_low_cardinality_tags,
 )
+from tablegrade.operators.profile_state import counts_of, profile_of
 from tablegrade.operators.reconcile import in_scope, pending_columns, reconcile_check_tags
 from tablegrade.operators.score import metric_rows, upsert_summary
 from tablegrade.operators.signals import columns_described, steward_signals
@@ -165,19 +166,24 @@ def enrich(
     config: DataFrame,
     state: ColumnState,
     failures: list[Failure] | None = None,
+    kept: DataFrame | None = None,
 ) -> tuple[ColumnState, DataFrame]:
     """Reconcile checks and tags, tag low-cardinality columns, and describe pending columns.
 
-    With ``failures``, tables that cannot be read are added there and keep their tags; else they fail the stage.
+    With ``failures``, tables that cannot be read are added there and keep their tags; else they fail the stage. With ``kept``, a
+    profile by file of these tables (``update_file_profile``), nothing is scanned.
 
     Returns the new state and the profile, which the next stage needs too. The profile and the tags
     are used several times and rest on scans of the data, so they are stored once each.
     """
     checks, tags = reconcile_check_tags(state.tags, state.checks, state.columns, config)
-    limits = thresholds_of(config, tables)
-    profile = stored_once(
-        in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags), failures, "enrich")
-    )
+    if kept is not None:
+        profile = stored_once(profile_of(kept, tags))
+    else:
+        limits = thresholds_of(config, tables)
+        profile = stored_once(
+            in_batches(tables, lambda some: low_cardinality(spark, some, limits, tags), failures, "enrich")
+        )
     before, tags = tags, stored_once(update_low_cardinality_tags(profile, tags))
     pending = in_scope(pending_columns(state.columns, tags, TAG_COMMENT), config)
     drafts = draft_descriptions(pending, profile, before)
@@ -191,12 +197,16 @@ def suggest(
     config: DataFrame,
     state: ColumnState,
     failures: list[Failure] | None = None,
+    kept: DataFrame | None = None,
 ) -> ColumnState:
     """Generate checks for the columns without any, and tag those columns.
 
-    Only pending columns of open tables are scanned.
+    Only pending columns of open tables are scanned. With ``kept``, a profile by file of these tables, nothing is scanned or
+    collected.
     """
     pending = in_scope(pending_columns(state.columns, state.tags, TAG_CHECK), config)
+    if kept is not None:
+        return _with_checks(state, profile, counts_of(kept).join(pending.select(*COLUMN_KEYS).distinct(), COLUMN_KEYS, "left_semi"))
     names = pending.select(full_name().alias("name"), "column_name").where(
         F.col("name").isin(list(tables))
     )
@@ -208,6 +218,11 @@ def suggest(
     columns = {name: sorted(found) for name, found in asked.items()}
     pending_tables = {name: tables[name] for name in columns}
     counts = in_batches(pending_tables, lambda some: column_counts(some, columns), failures, "suggest")
+    return _with_checks(state, profile, counts)
+
+
+def _with_checks(state: ColumnState, profile: DataFrame, counts: DataFrame) -> ColumnState:
+    """The state with checks suggested for the counted columns."""
     drafts = stored_once(suggest_checks(profile, counts))
     marks = drafts.select(*COLUMN_KEYS, F.lit(TAG_CHECK).alias("tag_name"))
     return replace(

@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tablegrade.operators import score
+from tablegrade.operators.profile_state import update_file_profile
 from tablegrade.plans import stages
 from tablegrade.schemas import COLUMN_CHECKS, COLUMN_TAGS, DQ_CONFIG, DQ_SUMMARY, SCHEMA_VERSIONS
 from tablegrade.sources.catalog import columns_of
+from tablegrade.sources.state_files import stored_once
 from tests.helpers import as_set, by_table, frame
 
 NOW = "2024-01-31 00:00:00"
@@ -101,6 +103,24 @@ def test_two_runs(spark):
     assert scores == {"orders": (10, 30), "notes": (0, 30)}
 
 
+def test_a_kept_profile_saves_the_scans(spark):
+    """With a kept profile the stages give the same without reading the tables."""
+    config, tables = seeded(spark), catalog_of(spark)
+    state = stages.ColumnState(
+        columns_of(spark, tables), spark.createDataFrame([], COLUMN_TAGS), spark.createDataFrame([], COLUMN_CHECKS)
+    )
+    kept = stored_once(update_file_profile(spark, tables, stages.thresholds_of(config, tables)))
+    ends = []
+    for given, read in ((kept, {}), (None, tables)):
+        enriched, profile = stages.enrich(spark, read, config, state, kept=given)
+        ends.append(stages.suggest(read, profile, config, enriched.stored(), kept=given))
+    saved, scanned = ends
+    assert as_set(saved.columns, "column_name", "comment") == as_set(scanned.columns, "column_name", "comment")
+    assert as_set(saved.tags, "column_name", "tag_name", "tag_value") == as_set(scanned.tags, "column_name", "tag_name", "tag_value")
+    assert as_set(saved.checks, "column_name", "check") == as_set(scanned.checks, "column_name", "check")
+    assert as_set(saved.checks, "column_name") == {"id", "state", "text"}
+
+
 def test_a_failing_check_costs_points(spark):
     tables = catalog_of(spark)
     checks = frame(
