@@ -11,17 +11,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tablegrade.schemas import DEFAULT_TOP_K
+from tablegrade.sources.state_files import stored_once
 
 #: Largest document set sent to all executors, in bytes of its vectors as doubles.
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: Documents and queries per block when the documents are too many to broadcast.
 BLOCK_ROWS = 16_384
 
+#: Strips that queries and documents are dealt into, so each vector is moved so many times. Queries get more where a
+#: strip of them would exceed ``HELD_BYTES`` as doubles, which one task holds while documents pass by.
+STRIPS, HELD_BYTES = 8, 64 * 1024 * 1024
+#: Vectors that move as one row, in bytes as doubles.
+PACKED_BYTES = 1 << 20
+
 _MATCH = "query_id {0}, doc_id {1}, score double"
 
 #: Vectors that can be compared.
@@ -56,6 +64,176 @@ def _best(queries: np.ndarray, documents: np.ndarray, k: int, digits: int):
     return rows, *(np.concatenate([found[i] for _, found in slices]) for i in (1, 2))
 
 
+def _reaching(queries: np.ndarray, documents: np.ndarray, k: int, digits: int, least: np.ndarray):
+    """As ``_best``, of the documents that reach each query's ``least`` score only."""
+    parts, step = [], max(1, _SCORES_AT_ONCE // len(documents))
+    for start in range(0, len(queries), step):
+        known = least[start : start + step]
+        if np.isneginf(known).any():
+            rows, docs, values = _best_of_slice(queries[start : start + step], documents, k, digits)
+        else:
+            raw = queries[start : start + step] @ documents.T
+            rows, docs = np.nonzero(raw >= (known - 10.0**-digits)[:, None])
+            values = np.round(raw[rows, docs], digits) + 0.0
+            order = np.lexsort((docs, -values, rows))
+            rows, docs, values = rows[order], docs[order], values[order]
+            keep = np.arange(rows.size) - np.searchsorted(rows, rows) < k
+            rows, docs, values = rows[keep], docs[keep], values[keep]
+        fits = values >= known[rows]
+        parts.append((rows[fits] + start, docs[fits], values[fits]))
+    return tuple(np.concatenate([part[i] for part in parts]) for i in range(3))
+
+
+class _Strip:
+    """Queries of one strip, held while documents pass by, and the best ``k`` so far of each.
+
+    ``least`` is a score that each query's ``k``-th best reaches; with ``pivots``, rings whose bound doesn't reach it are
+    not compared (see :mod:`metric_index`).
+    """
+
+    def __init__(self, ids: pa.Array, vectors: np.ndarray, least: np.ndarray, k: int, digits: int, pivots: np.ndarray | None):
+        self.ids, self.vectors, self.least, self.k, self.digits = ids, vectors, least, k, digits
+        self.angles = None if pivots is None else np.arccos(np.clip(vectors @ pivots.T, -1, 1))
+        self.parts: list[tuple] = []
+        self.waiting = self.kept = 0
+
+    def meet(self, ids: pa.Array, documents: np.ndarray, ring: tuple[int, float, float] | None) -> None:
+        # Ties go to the smaller id, so documents come in its order; null ids first, as Spark sorts them.
+        order = pc.sort_indices(ids, null_placement="at_start").to_numpy()
+        vectors, least, some = self.vectors, self.least, None
+        if ring is not None and self.angles is not None:
+            pivot, low, high = ring
+            angle = self.angles[:, pivot]
+            gap = np.maximum(np.maximum(angle - high, low - angle) - ANGLE_SLACK, 0.0)
+            some = np.flatnonzero(np.cos(gap) + 10.0**-self.digits >= least)
+            if not len(some):
+                return
+            vectors, least = (vectors, least) if len(some) == len(vectors) else (vectors[some], least[some])
+        rows, docs, scores = _reaching(vectors, documents[order], self.k, self.digits, least)
+        self.parts.append((rows if some is None else some[rows], ids.take(pa.array(order[docs])), scores))
+        self.waiting += len(rows)
+        if self.waiting >= max(len(self.vectors) * self.k // 2, 1):
+            self.settle()
+
+    def settle(self) -> None:
+        """Cut what was found to the best ``k`` of each query."""
+        rows, scores = (np.concatenate([part[i] for part in self.parts]) for i in (0, 2))
+        ids = pa.concat_arrays([part[1] for part in self.parts])
+        place = np.empty(len(ids), np.int64)
+        place[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+        order = np.lexsort((place, -scores, rows))
+        rows, scores = rows[order], scores[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        keep, last = rank < self.k, rank == self.k - 1
+        self.least = self.least.copy()
+        self.least[rows[last]] = np.maximum(self.least[rows[last]], scores[last])
+        self.parts, self.waiting = [(rows[keep], ids.take(pa.array(order[keep])), scores[keep])], 0
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        self.settle()
+        rows, ids, scores = self.parts[0]
+        for start in range(0, len(rows), 50_000):
+            cut = slice(start, start + 50_000)
+            columns = [self.ids.take(pa.array(rows[cut])), ids[cut], pa.array(scores[cut])]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "doc_id", "score"])
+
+
+#: What rounding may add to an angle.
+ANGLE_SLACK = 1e-6
+
+
+def packed(frame: DataFrame, key: str, width: int, rows: int) -> DataFrame:
+    """``block``, ``ids`` and ``vectors`` (bytes) of up to ``rows`` rows each, in place and stored. Floats stay floats."""
+    rows = max(1, min(rows, PACKED_BYTES // (8 * max(1, width))))
+    kind = frame.schema[key].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                values = part.column("vector").flatten().to_numpy(zero_copy_only=False)
+                values = values if values.dtype == np.float32 else values.astype("float64")
+                ids = part.column(key)
+                ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+                yield pa.RecordBatch.from_arrays([ids, pa.array([values.tobytes()], pa.binary())], names=["ids", "vectors"])
+
+    blocks = frame.select(key, "vector").mapInArrow(pack, f"ids array<{kind}>, vectors binary")
+    return stored_once(blocks.withColumn("block", F.monotonically_increasing_id()))
+
+
+def in_strips(
+    queries: DataFrame, documents: DataFrame, counts: tuple[int, int], width: int, k: int, digits: int, pivots: np.ndarray | None = None
+) -> DataFrame:
+    """Each strip's best ``k`` of every query: all blocks of ``queries`` meet all blocks of ``documents``.
+
+    Both are stored blocks (see ``packed``), ``counts`` their numbers of vectors. Every pair of strips is one task's
+    partition, in which the queries are held and the documents pass by, so a vector moves ``STRIPS`` times however
+    many blocks there are. ``queries`` may bring ``least``, the score that each one's ``k``-th best reaches, as bytes,
+    and documents their ``pivot``, ``low`` and ``high``.
+    """
+    dealt, pairs = dealt_in_strips(queries, documents, counts, width)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def vectors(row: dict) -> np.ndarray:
+            count = len(row["own"])
+            values = np.frombuffer(row["vectors"], np.float32 if len(row["vectors"]) == 4 * count * width else np.float64)
+            rows = values.reshape(count, width).astype("float64")
+            norms = np.linalg.norm(rows, axis=1, keepdims=True)
+            return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+        def strip() -> _Strip:
+            least = [np.frombuffer(r["least"]) if r["least"] is not None else np.full(len(r["own"]), -np.inf) for r in held]
+            ids = pa.concat_arrays([r["own"] for r in held])
+            return _Strip(ids, np.concatenate([vectors(r) for r in held]), np.concatenate(least), k, digits, pivots)
+
+        pair, held, open_strip = None, [], None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in ("pair", "side", "vectors", "least", "pivot", "low", "high")}
+                row["own"] = batch.column("doc_ids" if row["side"] else "query_ids")[i].values
+                if row["pair"] != pair:
+                    if open_strip is not None:
+                        yield from open_strip.found()
+                    pair, held, open_strip = row["pair"], [], None
+                if row["side"] == 0:
+                    held.append(row)
+                elif held or open_strip is not None:
+                    if open_strip is None:
+                        open_strip, held = strip(), []
+                    ring = None if row["pivot"] is None else (row["pivot"], row["low"], row["high"])
+                    open_strip.meet(row["own"], vectors(row), ring)
+        if open_strip is not None:
+            yield from open_strip.found()
+
+    kinds = (frame.schema["ids"].dataType.elementType.simpleString() for frame in (queries, documents))
+    dealt = dealt.repartitionById(pairs, F.col("pair")).sortWithinPartitions("pair", "side", "block")
+    return dealt.mapInArrow(match, _MATCH.format(*kinds))
+
+
+def dealt_in_strips(queries: DataFrame, documents: DataFrame, counts: tuple[int, int], width: int) -> tuple[DataFrame, int]:
+    """The blocks of both sides, once for each pair of strips that they belong to, and the number of pairs."""
+    across = min(STRIPS, max(1, documents.count()))
+    down = max(min(STRIPS, max(1, queries.count())), -(-counts[0] * width * 8 // HELD_BYTES))
+    if down > STRIPS:
+        across = max(1, min(across, STRIPS * STRIPS // down))
+
+    def rows(frame: DataFrame, side: int, own: int, other: int) -> DataFrame:
+        strip, others = F.pmod(F.xxhash64("block"), F.lit(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+        frame = frame.withColumn("strip", strip).withColumn("other", others)
+        pair = F.col("other") * down + F.col("strip") if side == 0 else F.col("strip") * down + F.col("other")
+        names = {"least": "binary", "pivot": "int", "low": "double", "high": "double"}
+        more = [F.col(n) if n in frame.columns else F.lit(None).cast(kind).alias(n) for n, kind in names.items()]
+        ids = [
+            F.col("ids").alias(name) if own_side else F.lit(None).cast(other_frame.schema["ids"].dataType).alias(name)
+            for name, own_side, other_frame in (("query_ids", side == 0, queries), ("doc_ids", side == 1, documents))
+        ]
+        return frame.select(pair.alias("pair"), F.lit(side).alias("side"), "block", *ids, "vectors", *more)
+
+    return rows(queries, 0, down, across).unionByName(rows(documents, 1, across, down)), across * down
+
+
 def _best_of_slice(queries: np.ndarray, documents: np.ndarray, k: int, digits: int):
     scores = np.round(queries @ documents.T, digits) + 0.0
     take = min(k, scores.shape[1])
