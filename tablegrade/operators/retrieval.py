@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -273,8 +272,8 @@ def top_k_similar(
     a ``ValueError`` is raised. Scores are rounded to ``digits`` before ranking.
 
     Documents whose vectors fit ``broadcast_bytes`` (their number is counted first) go to every
-    executor, and the queries are then read in place without a shuffle. Beyond that, both sides are cut
-    into blocks of bounded size by a hash of their ids; each pair of blocks is one task group.
+    executor, and the queries are then read in place without a shuffle. Beyond that, both sides are packed
+    into blocks of up to ``block_rows`` and dealt into strips; each pair of strips is one task (see ``in_strips``).
     """
     queries, documents = queries.where(_WHOLE), documents.where(_WHOLE)
     width = F.size("vector")
@@ -293,11 +292,9 @@ def top_k_similar(
     schema = _MATCH.format(*kinds)
     if count * width * 8 <= broadcast_bytes:
         return _against_broadcast(queries, documents, width, k, digits, schema)
-    blocks = -(-count // block_rows)
-    chunks = max(1, -(-queries.count() // block_rows))
-    return _ranked(
-        _against_blocks(queries, documents, width, k, digits, schema, blocks, chunks), k
-    )
+    asked, held = packed(queries, "query_id", width, block_rows), packed(documents, "doc_id", width, block_rows)
+    asking = asked.agg(F.sum(F.size("ids"))).head()[0] or 0
+    return _ranked(in_strips(asked, held, (asking, count), width, k, digits), k)
 
 
 def _empty(queries: DataFrame, documents: DataFrame) -> DataFrame:
@@ -338,42 +335,6 @@ def _against_broadcast(queries, documents, width, k, digits, schema) -> DataFram
     return queries.select("query_id", "vector").mapInArrow(match, ranked)
 
 
-def _against_blocks(queries, documents, width, k, digits, schema, blocks, chunks) -> DataFrame:
-    def spread(rows: DataFrame, key: str, own: str, own_count: int, other: str, other_count: int):
-        """Rows with the block they belong to, once for every block of the other side."""
-        others = F.sequence(F.lit(0), F.lit(other_count - 1))
-        return rows.select(
-            key,
-            "vector",
-            F.pmod(F.xxhash64(key), F.lit(own_count)).cast("int").alias(own),
-            F.explode(others).alias(other),
-        )
-
-    left = spread(queries, "query_id", "chunk", chunks, "block", blocks)
-    right = spread(documents, "doc_id", "block", blocks, "chunk", chunks)
-
-    def match(queries_: pd.DataFrame, documents_: pd.DataFrame) -> pd.DataFrame:
-        if queries_.empty or documents_.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        documents_ = documents_.sort_values("doc_id")
-        rows, docs, scores = _best(
-            _matrix(pa.array(queries_["vector"]), width),
-            _matrix(pa.array(documents_["vector"]), width),
-            k,
-            digits,
-        )
-        return pd.DataFrame(
-            {
-                "query_id": queries_["query_id"].to_numpy()[rows],
-                "doc_id": documents_["doc_id"].to_numpy()[docs],
-                "score": scores,
-            }
-        )
-
-    keys = ["chunk", "block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(match, schema)
-
-
 def documents_of(matches: DataFrame, knowledge_base: DataFrame) -> DataFrame:
     """Matches with the description and syntax of the documents they name.
 

@@ -161,3 +161,24 @@ def test_null_vectors_leave_the_others_alone(spark):
         assert as_set(found, "query_id", "doc_id") == {(1, 11), (3, 12)}
     with pytest.raises(ValueError, match="lengths"):
         retrieval.top_k_similar(q, d.union(vectors(spark, "doc_id", [(13, [1])])), 1)
+
+
+def test_vectors_move_no_more_often_with_more_blocks(spark, monkeypatch):
+    found = np.random.default_rng(2).normal(size=(300, 6)).tolist()
+    q, d = vectors(spark, "query_id", list(enumerate(found))), vectors(spark, "doc_id", list(enumerate(found)))
+    moved, dealt = [], retrieval.dealt_in_strips
+
+    def counted(*sides):
+        frame, pairs = dealt(*sides)
+        moved.append(frame.agg(F.sum(F.size(F.coalesce("query_ids", "doc_ids")))).head()[0])
+        return frame, pairs
+
+    monkeypatch.setattr(retrieval, "dealt_in_strips", counted)
+    expected = as_set(retrieval.top_k_similar(q, d, 4), "query_id", "rank", "doc_id", "score")
+    for block_rows in (2, 64):
+        blocks = retrieval.top_k_similar(q, d, 4, broadcast_bytes=0, block_rows=block_rows)
+        assert as_set(blocks, "query_id", "rank", "doc_id", "score") == expected
+    monkeypatch.setattr(retrieval, "HELD_BYTES", 6 * 8 * 25)  # twelve strips of queries
+    blocks = retrieval.top_k_similar(q, d, 4, broadcast_bytes=0, block_rows=2)
+    assert as_set(blocks, "query_id", "rank", "doc_id", "score") == expected
+    assert max(moved[:2]) <= 300 * 2 * retrieval.STRIPS and moved[2] <= 300 * (12 + 5)
