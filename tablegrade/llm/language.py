@@ -9,7 +9,6 @@ N-grams lie within words, with the blank before and after a word as one more let
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -20,11 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablegrade.llm.common import col, fresh, remainder, small_batches, table
+from tablegrade.sources.state_files import stored_once
 
 #: Length of the longest n-grams, and of the profiles.
 LONGEST, RANKS = 3, 400
-#: Documents expected in the learned sample of each language.
+#: Documents of each language that ``sampled`` is expected to choose.
 SAMPLE = 3000
+#: Distinct n-grams of all languages that a task counts before it passes the counts on.
+HELD_GRAMS = 500_000
 UNKNOWN = "und"
 #: Of the score of labelled documents, what a document must reach to be kept by the pipeline (see ``least_score``).
 MARGIN = 0.8
@@ -93,29 +95,47 @@ def sampled(labelled: DataFrame, text_column: str = "text", lang_column: str = "
 
 def least_score(chosen: DataFrame, profiles: Profiles) -> float:
     """The score below which a text is taken for none of the languages: ``MARGIN`` of the score that all but one in a thousand
-    of the labelled texts of the sample reach, short ones included. 0 where nothing was learned."""
-    scored = chosen.select(language_of(F.col("text"), profiles).alias("said")).filter(F.col("said.lang") != UNKNOWN)
-    return MARGIN * (scored.agg(F.percentile_approx("said.score", 0.001, 10_000).alias("low")).first()["low"] or 0.0)
+    of the given labelled texts reach, short ones included. 0 where nothing was learned."""
+    return _least_of(chosen.select(language_of(F.col("text"), profiles).alias("said")), "said")
+
+
+def _least_of(scored: DataFrame, said: str) -> float:
+    """``least_score`` of labelled texts whose language and score are in the column ``said``."""
+    scored = scored.filter(F.col(f"{said}.lang") != UNKNOWN)
+    return MARGIN * (scored.agg(F.percentile_approx(f"{said}.score", 0.001, 10_000).alias("low")).first()["low"] or 0.0)
 
 
 def learn(
-    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", sample: int = SAMPLE, ranks: int = RANKS
+    labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", sample: int | None = None, ranks: int = RANKS
 ) -> Profiles:
-    """Profiles from a sample of labelled documents: about ``sample`` of each language (see ``sampled``).
+    """Profiles from all labelled documents, or from about ``sample`` of each language (see ``sampled``).
 
-    Rows without a language are not used. To the driver come the number of rows and ``ranks`` n-grams per language.
+    Rows without a language are not used. To the driver come ``ranks`` n-grams per language.
     """
     small_batches(labelled.sparkSession)
-    chosen = sampled(labelled, text_column, lang_column, sample)
+    if sample is None:
+        chosen = labelled.select(col(text_column).alias("text"), col(lang_column).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    else:
+        chosen = sampled(labelled, text_column, lang_column, sample)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, Counter] = {}
+        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for frame in frames:
-            for text, lang in zip(frame["text"], frame["lang"], strict=True):
-                values, counts = grams(text)
-                total.setdefault(lang, Counter()).update(dict(zip(values.tolist(), counts.tolist(), strict=True)))
-        for lang, own in total.items():
-            yield pd.DataFrame({"lang": lang, "gram": np.array(list(own), np.int64), "n": np.array(list(own.values()), np.int64)})
+            for lang, texts in frame.groupby("lang", sort=False)["text"]:
+                parts = [total[lang]] if lang in total else []
+                found = [*parts, *(grams(text) for text in texts)]
+                values, places = np.unique(np.concatenate([v for v, _ in found]), return_inverse=True)
+                counts = np.zeros(len(values), np.int64)
+                np.add.at(counts, places, np.concatenate([n for _, n in found]))
+                total[lang] = values, counts
+            if sum(len(values) for values, _ in total.values()) > HELD_GRAMS:
+                yield from passed(total)
+                total = {}
+        yield from passed(total)
+
+    def passed(total: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+        for lang, (values, counts) in total.items():
+            yield pd.DataFrame({"lang": lang, "gram": values.astype(np.int64), "n": counts})
 
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     counts = chosen.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -151,15 +171,23 @@ def identify(docs: DataFrame, profiles: Profiles, id_column: str = "doc_id", tex
     return said.select("doc_id", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
 
 
+def _scored(docs: DataFrame, profiles: Profiles, text_column: str = "text") -> tuple[DataFrame, str]:
+    """The documents with language and score in one more column, and its name."""
+    small_batches(docs.sparkSession)
+    said = fresh(docs, "said")
+    return docs.withColumn(said, language_of(col(text_column), profiles)), said
+
+
+def _known(found: DataFrame, said: str, least: float) -> DataFrame:
+    return found.filter((F.col(f"{said}.lang") != UNKNOWN) & (F.col(f"{said}.score") >= least)).drop(said)
+
+
 def keep_known(docs: DataFrame, profiles: Profiles, text_column: str = "text", least: float = 0.0) -> DataFrame:
     """The documents in a learned language, all columns as they are.
 
     Rejected are null texts, texts without a letter, and texts with a score below ``least``, which resemble no profile.
     """
-    small_batches(docs.sparkSession)
-    said = fresh(docs, "said")
-    found = docs.withColumn(said, language_of(col(text_column), profiles))
-    return found.filter((F.col(f"{said}.lang") != UNKNOWN) & (F.col(f"{said}.score") >= least)).drop(said)
+    return _known(*_scored(docs, profiles, text_column), least)
 
 
 def _learnable(docs: DataFrame) -> DataFrame:
@@ -176,7 +204,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is known: those that score like labelled documents do."""
-    labelled = docs.select("text", "lang")
-    profiles = learn(labelled)
-    return keep_known(docs, profiles, least=least_score(sampled(labelled), profiles))
+    """Keeps the documents whose language is known: those that score like labelled documents do.
+
+    Every document is scored once, and stored with its score; the least score comes from all labelled ones.
+    """
+    found, said = _scored(docs, learn(docs))
+    found = stored_once(found)
+    return _known(found, said, _least_of(found.filter("lang IS NOT NULL"), said))

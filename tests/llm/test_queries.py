@@ -180,6 +180,25 @@ def test_packing_of_long_stretches(spark):
     assert found == {i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
 
 
+def test_languages_are_learned_from_all_documents(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [("xy"[i % 2], "".join(rng.choice("abcdefgh") for _ in range(5))) for i in range(14_000)]
+    docs = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(texts)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "HELD_GRAMS", 50)
+    profiles = language.learn(docs)
+    for place, lang in enumerate(profiles.languages):
+        counts = Counter()
+        for own, text in texts:
+            if own == lang:
+                values, numbers = language.grams(text)
+                counts.update(dict(zip(values.tolist(), numbers.tolist())))
+        best = sorted(counts, key=lambda gram: (-counts[gram], gram))[: language.RANKS]
+        ranks = {int(gram): int(rank) for gram, rank in zip(profiles.known, profiles.places[place]) if rank < language.RANKS}
+        assert ranks == {gram: rank for rank, gram in enumerate(best)}
+    monkeypatch.setattr(language, "sampled", None)
+    assert language.language_stage(spark, docs, "").columns == docs.columns
+
+
 def test_texts_that_resemble_no_language(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     profiles = language.learn(docs)
