@@ -196,6 +196,8 @@ def write_documents(checks: DataFrame, folder: str) -> None:
 #: The most counts of one aggregate, and the most values that a check in it lists. What exceeds them is joined.
 COUNTS_AT_ONCE = 200
 LISTED_AT_ONCE = 1_000
+#: Checks that one task reads, rows that one task folds to different values, and the most patterns that are broadcast.
+CHECKS_AT_ONCE, ROWS_AT_ONCE, PATTERNS_AT_ONCE = 100_000, 500_000, 10_000
 
 _SIGNATURE = ["metric", "argument", "valid_values", "invalid_regex"]
 _VALUES = T.StructType(
@@ -257,18 +259,25 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
     * the others stay rows. One scan folds the columns concerned to their different values with counts, and things are joined to
       those: listed values by equality, and each pattern looks at each different value once.
     """
+    shares = -(-checks.count() // CHECKS_AT_ONCE)
+    if shares > 1:
+        # By rows: files of checks are so small that Spark would deal out too many at a time.
+        checks = checks.repartition(shares, *TABLE_KEYS, "column_name", "check_id", "check")
     parsed = parse_checks(checks).join(F.broadcast(_open_names(spark, tables)), TABLE_KEYS, "left_semi")
     parsed = parsed.withColumn(
         "signature", F.when(F.col("readable"), F.to_json(F.struct(*_SIGNATURE)))
     )
-    things = parsed.where("readable").select(*TABLE_KEYS, "signature", *_SIGNATURE).distinct()
+    if shares > 1:
+        parsed = stored_once(parsed)
+    things = parsed.where("readable").select(*TABLE_KEYS, "signature", *_SIGNATURE)
+    things = (things.repartition(shares, "signature") if shares > 1 else things).distinct()
     small = F.coalesce(F.size("valid_values"), F.lit(0)) <= LISTED_AT_ONCE
     wanted = things.where(small).limit(COUNTS_AT_ONCE + 1).collect()
     many = None
     if len(wanted) > COUNTS_AT_ONCE:
         things = stored_once(things)
         counts = things.where(small).groupBy(*TABLE_KEYS).agg(F.count("*").alias("n"))
-        few = counts.where(F.col("n") <= COUNTS_AT_ONCE).select(*TABLE_KEYS)
+        few = F.broadcast(counts.where(F.col("n") <= COUNTS_AT_ONCE).select(*TABLE_KEYS))
         wanted = things.where(small).join(few, TABLE_KEYS, "left_semi").collect()
         many = things.where(small).join(few, TABLE_KEYS, "left_anti").unionByName(things.where(~small))
     elif not things.where(~small).isEmpty():
@@ -285,7 +294,8 @@ def evaluate_checks(spark: SparkSession, checks: DataFrame, tables: Tables) -> D
         if todo:
             counted.append(_counts(name, table, fields, todo))
     if many is not None:
-        counted.append(_joined_counts(spark, stored_once(many), tables))
+        many = stored_once(many.withColumn("thing", F.monotonically_increasing_id()))
+        counted.append(_joined_counts(spark, many, tables))
     values = union_all(counted)
     if values is None:
         values = local_frame(spark, [], _VALUES)
@@ -328,71 +338,80 @@ def _in_kind(text: str, field: T.StructField) -> str:
     return f"cast({value} as string)"
 
 
-def counted_values(name: str, table: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    """The different values of some columns with their counts, from one scan that folds before it shuffles.
+def counted_values(table: DataFrame, fields: dict[int, T.StructField]) -> DataFrame:
+    """The different values of some numbered columns with their counts, from one scan that folds before it shuffles by them.
 
     ``value`` is the text that values are compared by; ``shown`` is the column cast to text where that differs.
     """
-    keys = {k: sql_text(part) for k, part in zip(TABLE_KEYS, name_parts(name))}
+    shares = -(-table.count() // ROWS_AT_ONCE)
+    if shares > 1:
+        # A file may be one task's, with more different values than fit its memory.
+        table = table.select(*(F.col(sql_name(f.name)) for f in fields.values())).repartition(shares)
     cells = []
-    for field in fields:
+    for number, field in fields.items():
         shown = f"cast({sql_name(field.name)} as string)"
         value = as_text(field) if _is_plain(field) else _in_kind(sql_name(field.name), field)
-        cells.append(sql_struct(**keys, argument=sql_text(field.name.lower()), value=value, shown=f"nullif({shown}, {value})"))
+        cells.append(sql_struct(number=str(number), value=value, shown=f"nullif({shown}, {value})"))
     rows = table.selectExpr(f"inline(array({', '.join(cells)}))")
-    return rows.groupBy(*TABLE_KEYS, "argument", "value", "shown").agg(F.count("*").alias("n"))
+    return rows.groupBy("number", "value", "shown").agg(F.count("*").alias("n"))
 
 
 def _joined_counts(spark: SparkSession, things: DataFrame, tables: Tables) -> DataFrame:
-    """The value of each thing to count, by joins with the counted values of its column.
+    """The value of each thing to count, by joins with the counted values of its column. ``things`` is stored.
 
-    Only the columns that are asked for, and patterns that can't be compiled, come to the driver.
+    Rows that are shuffled name a thing and a column by number. Only the columns that are asked for, and patterns that can't
+    be compiled, come to the driver.
     """
     things = things.withColumn("argument", F.lower("argument"))
     asked = defaultdict(set)
     known = F.broadcast(_open_columns(spark, tables))
     for row in things.select(*TABLE_KEYS, "argument").distinct().join(known, [*TABLE_KEYS, "argument"], "left_semi").collect():
         asked[".".join(row[k] for k in TABLE_KEYS)].add(row["argument"])
-    frames, kinds = [], {}
+    frames, rows, ways = [], [], {}
     for name, columns in asked.items():
-        fields = [f for f in tables[name].schema if f.name.lower() in columns]
-        frames.append(counted_values(name, tables[name], fields))
-        kinds |= {(*name_parts(name), f.name.lower()): _in_kind("listed", f) for f in fields}
+        fields = {len(rows) + i: f for i, f in enumerate(f for f in tables[name].schema if f.name.lower() in columns)}
+        frames.append(counted_values(tables[name], fields))
+        for number, f in fields.items():
+            rows.append((*name_parts(name), f.name.lower(), number, ways.setdefault(_in_kind("listed", f), len(ways))))
     if not frames:
         return local_frame(spark, [], _VALUES)
     values = stored_once(union_all(frames))
     column = [*TABLE_KEYS, "argument"]
-    thing = [*TABLE_KEYS, "signature"]
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in column]).add("number", T.IntegerType()).add("way", T.IntegerType())
+    things = things.join(F.broadcast(local_frame(spark, rows, schema)), column)
 
-    patterns = things.where("invalid_regex is not null").select("invalid_regex").distinct()
-    bad = _bad_patterns(spark, (row["invalid_regex"] for row in patterns.toLocalIterator()))
+    patterns = things.where("invalid_regex is not null").select("thing", "number", "invalid_regex")
+    bad = _bad_patterns(spark, (row["invalid_regex"] for row in patterns.select("invalid_regex").distinct().toLocalIterator()))
     if bad:
         things = things.where(F.col("invalid_regex").isNull() | ~F.col("invalid_regex").isin(bad))
+        patterns = patterns.where(~F.col("invalid_regex").isin(bad))
+    matched = patterns.count()
+    patterns = F.broadcast(patterns) if matched <= PATTERNS_AT_ONCE else patterns
 
-    shown = F.coalesce("shown", "value")
-    met = things.where("invalid_regex is not null").join(values.where("value is not null"), column)
-    met = met.where(F.rlike(shown, F.col("invalid_regex"))).groupBy(*thing).agg(F.sum("n").alias("met"))
-
-    ways = sorted(set(kinds.values()))
-    rows = [(*key, ways.index(way)) for key, way in kinds.items()]
-    schema = T.StructType([T.StructField(k, T.StringType()) for k in column]).add("way", T.IntegerType())
-    in_kind = F.expr("case way " + " ".join(f"when {i} then {way}" for i, way in enumerate(ways)) + " end")
-    listed = things.join(F.broadcast(local_frame(spark, rows, schema)), column).select(*column, "signature", "way", F.explode("valid_values").alias("listed"))
-    listed = listed.select(*column, "signature", in_kind.alias("value")).where("value is not null").distinct()
-    known = listed.join(values, [*column, "value"]).groupBy(*thing).agg(F.sum("n").alias("known"))
+    # What a check lists, each value once in the way that its column shows it.
+    in_kind = "case way " + " ".join(f"when {i} then {way}" for way, i in ways.items()) + " end"
+    listed = things.selectExpr("thing", "number", f"explode(array_distinct(transform(valid_values, listed -> {in_kind}))) as value")
+    known = listed.where("value is not null").join(values, ["number", "value"]).groupBy("thing").agg(F.sum("n").alias("known"))
 
     filled = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
     missing = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
-    totals = local_frame(spark, [key for key in kinds], T.StructType(schema.fields[:-1])).join(
-        values.groupBy(*column).agg(filled.alias("filled"), missing.alias("missing")), column, "left"
-    )
+    # One row for each column that is asked for.
+    totals = F.broadcast(values.groupBy("number").agg(filled.alias("filled"), missing.alias("missing")))
+    found = things.select(*TABLE_KEYS, "signature", "thing", "number", "metric", "invalid_regex")
+    found = found.join(totals, "number", "left").join(known, "thing", "left")
+    if matched:
+        shown = F.coalesce("shown", "value")
+        met = values.where("value is not null").join(patterns, "number").where(F.rlike(shown, F.col("invalid_regex")))
+        found = found.join(met.groupBy("thing").agg(F.sum("n").alias("met")), "thing", "left")
+    else:
+        found = found.withColumn("met", F.lit(0))
+
     count = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
     value = (
         F.when(F.col("metric") == MISSING, count("missing"))
         .when(F.col("invalid_regex").isNotNull(), count("met"))
         .otherwise(count("filled") - count("known"))
     )
-    found = things.join(totals, column).join(known, thing, "left").join(met, thing, "left")
     return found.select(*TABLE_KEYS, "signature", value.alias("value"))
 
 

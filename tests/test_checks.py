@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablegrade.operators import checks, profile, suggest
 from tests.helpers import as_set, by_table, frame
@@ -257,3 +258,24 @@ def test_one_document_of_very_many_checks(spark, tmp_path):
     files = sorted((tmp_path / "docs" / "document=c.s.hot").glob("part-*"))
     assert len(files) > 1
     assert "".join(f.read_text() for f in files).rstrip("\n") == found["hot"]
+
+
+def test_tasks_take_a_bounded_number_of_checks_and_rows(spark, monkeypatch):
+    data = spark.range(2_000).selectExpr("id % 1500 as k", "nullif(id % 3, 0) as `b.c`").coalesce(1)
+    rows = [f"invalid_count(k) = {2_000 - (2 if i < 500 else 1)}:\n  valid values: [{i}]" for i in range(1_500)]
+    rows += ["missing_count(`b.c`) = 667", "invalid_count(`b.c`) = 667:\n  invalid regex: ^1$"]
+    stored = texts(spark, *rows).coalesce(1)
+    monkeypatch.setattr(checks, "CHECKS_AT_ONCE", 100)
+    monkeypatch.setattr(checks, "ROWS_AT_ONCE", 100, raising=False)
+    kept, largest = checks.stored_once, []
+
+    def spied(frame):
+        frame = kept(frame)
+        largest.append(frame.groupBy(F.input_file_name()).count().agg(F.max("count")).head()[0])
+        return frame
+
+    monkeypatch.setattr(checks, "stored_once", spied)
+    found = checks.evaluate_checks(spark, stored, {"c.s.t": data}).collect()
+    assert len(found) == 1_502 and {r["outcome"] for r in found} == {checks.PASS}
+    # The parsed checks, and what they count.
+    assert max(largest[:2]) < 200
